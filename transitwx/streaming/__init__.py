@@ -1,0 +1 @@
+"""Kept empty on purpose: every job of this library is a batch job."""
