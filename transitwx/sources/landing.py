@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,24 +42,27 @@ def read_trains(
     Landed layouts: ``departureDate=YYYY-MM-DD/`` or ``year=YYYY/month=MM/``
     folders below ``path``. Folders outside the range are not opened.
     """
-    for day in (start, end):
-        if len(day) != 10 or spark.sql("select try_to_date(:d) d", args={"d": day}).first()[0] is None:
-            raise ValueError(f"not a YYYY-MM-DD date: {day!r}")
-    trains = spark.read.schema(schema).option("recursiveFileLookup", "false").json(path)
-    days = trains.where(F.col("departureDate").between(start, end))
+    first, last = date.fromisoformat(start), date.fromisoformat(end)
+    trains = spark.read.schema(schema).json(path)
+    days = trains.where(F.col("departureDate").between(first.isoformat(), last.isoformat()))
     if {"year", "month"} <= set(trains.columns):
         number = F.col("year") * 100 + F.col("month")
-        days = days.where(number.between(_month_number(start), _month_number(end)))
+        days = days.where(
+            number.between(first.year * 100 + first.month, last.year * 100 + last.month)
+        )
     return days
 
 
-def _month_number(day: str) -> int:
-    return int(day[:4]) * 100 + int(day[5:7])
-
+def read_dimension(
+    spark: SparkSession, name: str, path: str, one_document: bool = True
+) -> DataFrame:
+    """A code or station table.
 
-def read_dimension(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A code or station table; a landed empty list gives an empty table."""
-    return spark.read.schema(DIMENSIONS[name]).option("multiLine", "true").json(path)
+    ``one_document``: each file is one JSON list, as the services send it (an
+    empty list gives an empty table). Otherwise one record per line.
+    """
+    reader = spark.read.schema(DIMENSIONS[name]).option("multiLine", one_document)
+    return reader.json(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
