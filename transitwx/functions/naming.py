@@ -1,10 +1,15 @@
-"""Names of the rolling-feature columns."""
+"""Column names: quoting, and the names of the rolling features."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text takes it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def rolling_column_names(param: str, hours: int, extremes: bool = True) -> dict[str, str]:
     """Statistic -> output column, in output order."""
     stats = ("max", "min", "mean", "cumulative") if extremes else ("mean", "cumulative")

@@ -11,13 +11,18 @@ def round2(value: Column) -> Column:
     return F.rint(value * 100) / 100
 
 
-def settle_sum(value: Column) -> Column:
+def round2_sql(value: str) -> str:
+    """:func:`round2` as SQL text."""
+    return f"rint({value} * 100) / 100"
+
+
+def settle_sum_sql(value: str) -> str:
     """Drop the digits of a float sum that depend on the order of addition.
 
     Tasks add in an order that changes between runs; six digits are far finer
     than any reading, so a retried task gives the very same rounded mean.
     """
-    return F.rint(value * 1e6) / 1e6
+    return f"(rint({value} * 1e6D) / 1e6D)"
 
 
 def mean_or_zero(total: Column, n: Column) -> Column:

@@ -27,9 +27,9 @@ from transitwx.operators.nearest import (
 from transitwx.operators.rolling import rolling_features, trailing_slice
 from transitwx.plans import driver_tables as dt
 from transitwx.plans.driver_tables import EVENT_TYPES, PARAMETERS, VIEWS, table
-from transitwx.plans.weather_merge import merge_stops, nest_merged, weather_features
+from transitwx.plans.weather_merge import merge_tables, nest_merged
 from transitwx.schemas import STOP, TRAIN
-from transitwx.session import prepare, scratch_path
+from transitwx.session import prepare, scratch_path, stage
 from transitwx.sources import landing, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -466,12 +466,12 @@ def union_months(spark, d):
 
 @query(
     "missing_keys",
-    "SELECT DISTINCT param FROM v_obs EXCEPT SELECT DISTINCT param FROM v_obs WHERE val > 500",
+    "SELECT DISTINCT param FROM v_obs EXCEPT SELECT DISTINCT param FROM v_obs WHERE val > 350",
 )
 def missing_keys(spark, d):
-    """Parameters of the table that have no reading above 500."""
+    """Parameters of the table that have no reading above 350."""
     obs = dt.v_obs(spark, d)
-    return months.missing_keys(obs, obs.where("val > 500"), "param")
+    return months.missing_keys(obs, obs.where("val > 350"), "param")
 
 
 @query(
@@ -741,10 +741,10 @@ _MERGE_SQL = f"""WITH {_MERGE_CTES}
          LEFT JOIN answer a ON a.code = v.part_code AND a.call_us = v.call_us AND v.line_number <> 7"""
 
 
-def merged(spark: SparkSession, d: str, dense: bool = True) -> DataFrame:
-    return merge_stops(
-        dt.trains(spark, d, shift_to_2024=True),
-        weather_features(dt.weather(spark, d), MERGE, dense=dense),
+def merged(spark: SparkSession, d: str) -> DataFrame:
+    return merge_tables(
+        stage(dt.trains(spark, d, shift_to_2024=True), "trains"),
+        dt.weather(spark, d),
         dt.train_stations(spark, d),
         dt.places(spark, d),
         MERGE,
