@@ -13,7 +13,6 @@ from transitwx.config import DELAY, DELAY_FROM_ORIGIN, DELAY_FROM_PREVIOUS, HOUR
 from transitwx.functions import times
 from transitwx.functions.geo import haversine_km
 from transitwx.functions.naming import rolling_columns
-from transitwx.functions.text import list_text
 from transitwx.operators import delays, months, quality, stations, timetable, weather
 from transitwx.operators.asof import asof_nearest, asof_with_fallback
 from transitwx.operators.first import first_row
@@ -168,8 +167,8 @@ TOP10_SQL = """
 
 @query("delay_top10", TOP10_SQL)
 def delay_top10(spark, d):
-    top = delays.common_delays(dt.v_stop(spark, d), "diff")
-    return top.select("departure_date", list_text(F.col("top_delays")).alias("top_10_common_delays"))
+    summary = delays.delay_summary(dt.v_stop(spark, d), ["diff"])
+    return summary.select("departure_date", "top_10_common_delays")
 
 
 @query(
@@ -177,7 +176,7 @@ def delay_top10(spark, d):
     f"SELECT * EXCLUDE (departure_date) FROM ({summary_sql('diff')}) JOIN ({TOP10_SQL}) USING (departure_date)",
 )
 def delay_summary(spark, d):
-    return delays.delay_summary(dt.v_stop(spark, d), "diff")
+    return delays.delay_summary(dt.v_stop(spark, d), ["diff"]).drop("metric", "departure_date")
 
 
 @query(
@@ -679,7 +678,7 @@ def asof_fallback(spark, d):
     asked = dt.v_req(spark, d).withColumnRenamed("station", "code")
     answers = asof_with_fallback(
         asked.select("code", "us").distinct(),
-        candidate_lists(codes, geo, 5, code="code"),
+        stage(candidate_lists(codes, geo, 5, code="code"), "station-candidates"),
         dt.v_obs_wide(spark, d),
         WIDE_PARAMS,
         {f: [] for f in FALLBACK},
