@@ -108,6 +108,7 @@ def test_list_text(spark):
 DECODE = [
     ("plain", "[{'stationShortCode': 'HKI', 'trainStopping': True, 'cancelled': False, 'commercialTrack': None, 'differenceInMinutes': 3}]"),
     ("apostrophe", "[{'stationName': \"King's Cross\", 'stationShortCode': 'K'}]"),
+    ("both quotes", "[{'stationName': 'the \\'old\\' \"yard\"', 'stationShortCode': 'Y'}]"),
     ("word in a name", "[{'stationName': 'None True', 'stationShortCode': 'N'}]"),
     ("two stops", "[{'stationShortCode': 'A', 'differenceInMinutes': 1}, {'stationShortCode': 'B'}]"),
     ("empty", "[]"),
@@ -124,6 +125,7 @@ def test_decode_timetable(spark):
     assert (plain["stationShortCode"], plain["trainStopping"], plain["cancelled"]) == ("HKI", True, False)
     assert plain["commercialTrack"] is None and plain["differenceInMinutes"] == 3
     assert rows["apostrophe"]["timeTableRows"][0]["stationName"] == "King's Cross"
+    assert rows["both quotes"]["timeTableRows"][0]["stationName"] == "the 'old' \"yard\""
     assert rows["word in a name"]["timeTableRows"][0]["stationName"] == "None True"
     assert [s["stationShortCode"] for s in rows["two stops"]["timeTableRows"]] == ["A", "B"]
     assert rows["two stops"]["timeTableRows"][1]["differenceInMinutes"] is None

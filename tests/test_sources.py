@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
+from transitwx.operators.weather import flatten_documents
 from transitwx.schemas import _struct
 from transitwx.session import scratch_path, scratch_root, stage
 from transitwx.sources import landing, tables
@@ -51,6 +52,15 @@ def test_dimensions(spark, tmp_path):
     assert landing.read_dimension(spark, "causes", str(tmp_path / "e.json")).count() == 0
 
 
+def test_weather_documents(spark, tmp_path):
+    body = {"2024-01-01 00:00:00": {"A": {"t": {"value": 1.5}}, "B": {"t": {"value": 2.5}}}}
+    land(tmp_path, ".", [body], "obs_1.json")
+    docs = landing.read_documents(spark, str(tmp_path))
+    rows = flatten_documents(docs, ["t", "absent"]).collect()
+    assert sorted((r["station_name"], r["t"], r["absent"]) for r in rows) == [("A", 1.5, None), ("B", 2.5, None)]
+    assert docs.first()["ord"].endswith("obs_1.json")
+
+
 def test_csv_keeps_words_quotes_and_line_breaks(spark, tmp_path):
     schema = _struct("a bigint, b string, c double")
     rows = [(1, "NA", 0.1), (2, None, None), (3, 'say "hi", ok', -1e-7), (4, "two\nlines", 1e300)]
