@@ -285,11 +285,11 @@ def remove_repeats(
     found = text.mapInArrow(lambda b: first_level(b, size, parts), PAIRS_DDL)
     for n, (before, size) in enumerate(zip(sizes, sizes[1:], strict=False)):
         # copies stand behind their first text, which has the same windows
-        starts = repeated(found, False).join(copies, ["id", "text_hash"], "left_anti")
+        starts = stage(repeated(found, False).join(copies, ["id", "text_hash"], "left_anti"), "starts")
         found = text.join(starts, ["id", "text_hash"]).mapInArrow(
             lambda b, size=size, before=before, sampled=n == 0: next_level(b, size, before, sampled), PAIRS_DDL
         )
-    covered = repeated(found, True)
+    covered = stage(repeated(found, True), "covered")
     marks = covered.join(copies, ["id", "text_hash"], "full")
     return docs.join(marks, ["id", "text_hash"], "left").select("doc_id", "text", "starts", "copied").mapInArrow(
         lambda b: finish(b, window, with_text),
