@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from transitwx.llm.blocks import groups, in_block_pairs, roots
 from transitwx.llm.graph import components
 from transitwx.llm.tokens import folded_table, mix, slices, valid_windows, windows, words_of
 from transitwx.session import stage
@@ -31,6 +32,8 @@ BANDS, BAND_ROWS = 32, 4
 COORDINATES = BANDS * BAND_ROWS
 #: Ranks are cut into [0, 1), [1, 2), [2, 4), [4, 8), ...
 NO_ID = (1 << 63) - 1
+#: Rows of a bucket that are compared at once, and entries of the matrix for it.
+BLOCK, MATRIX = 2048, 1 << 23
 #: A cell of mean 1 or less holds more darts than this with less than 1e-16.
 MOST_DARTS = 20
 
@@ -192,6 +195,42 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return joined.select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def jaccard(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Similarities of sets by one matrix product over their joint elements."""
+    sizes = np.array([len(s) for s in sets])
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    wide = max(1, MATRIX // len(sets))
+    common = np.zeros((len(first), len(second)))
+    for lo in range(0, int(column[-1]) + 1, wide):
+        a, b = np.searchsorted(column, [lo, lo + wide])
+        holds = np.zeros((len(sets), wide), np.float32)
+        holds[owner[a:b], column[a:b] - lo] = 1
+        common += holds[first] @ holds[second].T
+    return common / (sizes[first][:, None] + sizes[second][None, :] - common)
+
+
+def compare(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links between rows of a block pair that are in different components so far,
+    as many as it takes to connect what they connect."""
+    for g in groups(batches, ["key", "low", "high"]):
+        ids, c, block = (g.column(n).to_numpy(zero_copy_only=False) for n in ("id", "c", "block"))
+        low, high = g.column("low")[0].as_py(), g.column("high")[0].as_py()
+        first = np.flatnonzero(block == low)
+        second = first if low == high else np.flatnonzero(block == high)
+        # rows of one component are not compared with each other
+        if len(np.unique(c)) < 2 or not len(first) or not len(second):
+            continue
+        sets = [x.values.to_numpy(zero_copy_only=False) for x in g.column("elements")]
+        linked = (jaccard(sets, first, second) >= threshold) & (c[first][:, None] != c[second][None, :])
+        if linked.any():
+            root = roots(ids, first, second, linked)
+            moved = root != ids
+            yield pa.record_batch([ids[moved], root[moved]], names=["a", "b"])
+
+
 def near_groups(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -213,8 +252,8 @@ def near_groups(
     Texts with equal shingles are one node from the start. In every band the
     documents of a bucket are compared with its smallest id; what this leaves in
     different components of one bucket is then compared in full, so that no
-    bucket's pairs are listed once its documents are linked. All candidates are
-    confirmed on the shingles themselves.
+    bucket's pairs are ever listed. All candidates are confirmed on the shingles
+    themselves.
 
     Null, empty and word-less texts are linked with nothing. Rows with one id
     are one node (a null id counts as the largest and is returned as null), of
@@ -241,18 +280,19 @@ def near_groups(
     # what shares a bucket but not yet a component
     grouped = components(links)
     placed = buckets.select("key", "id").join(grouped, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("other")).where("first < other")
-    open_rows = stage(placed.join(mixed.drop("other"), "key"), "open")
-    # of two components one is not the bucket's first
-    one, two = open_rows.where("c <> first").toDF("key", "a", "c", "f"), open_rows.toDF("key", "b", "d", "g")
-    pairs = one.join(two, "key").where("c <> d").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = pairs.distinct().join(stars, ["a", "b"], "left_anti")
-    more = verified(rest, sets, threshold).select("a", "b")
-    groups = components(links.union(more).union(same.toDF("a", "b")))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("key")
+    order = ["key", "low", "high"]
+    pairs = in_block_pairs(stage(placed.join(mixed, "key"), "open"), ["key"], BLOCK)
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    work = pairs.join(sets, "id").repartition(partitions, *order).sortWithinPartitions(*order)
+    more = work.select(*order, "block", "id", "c", "elements").mapInArrow(
+        lambda b: compare(b, threshold), "a long, b long"
+    )
+    found = components(links.union(more).union(same.toDF("a", "b")))
     nth = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text")))
     placed = (
         rows.select("doc_id", "id", nth.alias("nth"))
-        .join(groups, "id", "left")
+        .join(found, "id", "left")
         .withColumn("component", F.coalesce("component_id", "id"))
     )
     return placed.select(

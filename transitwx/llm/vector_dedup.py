@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from transitwx.llm.blocks import groups, in_block_pairs, roots
 from transitwx.llm.graph import components
 from transitwx.session import stage
 
@@ -104,29 +105,6 @@ def entries(batches: Iterator[pa.RecordBatch], codes: Codes) -> Iterator[pa.Reco
             yield pa.record_batch([batch.column("id"), lists], names=["id", "keys"])
 
 
-def groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Runs of equal ``names`` of rows that come sorted by them, each as one batch."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
-        change = np.zeros(len(batch), bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        cuts = [0, *np.flatnonzero(change).tolist(), len(batch)]
-        for lo, hi in zip(cuts, cuts[1:], strict=False):
-            key = tuple(c[lo] for c in columns)
-            if held and key != last:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held = []
-            held.append(batch.slice(lo, hi - lo))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 FOUND = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
 
@@ -154,17 +132,7 @@ def compare(batches: Iterator[pa.RecordBatch], codes: Codes, threshold: float, f
             np.fill_diagonal(linked, False)
         if not linked.any():
             continue
-        # smallest id reachable in here: labels spread until they rest
-        label = ids.copy()
-        big = np.iinfo(np.int64).max
-        while True:
-            down = np.minimum(label[first], np.where(linked, label[second][None, :], big).min(axis=1))
-            new = label.copy()
-            new[first] = down
-            new[second] = np.minimum(new[second], np.where(linked, down[:, None], big).min(axis=0))
-            if (new == label).all():
-                break
-            label = new
+        label = roots(ids, first, second, linked)
         links = np.zeros(len(ids), np.int64)
         links[first] += linked @ weight[second]
         if low != high:
@@ -218,13 +186,7 @@ def near_vectors(
         far = total * share + SLACK * math.sqrt(total * share)
         keys = copies.select("id", "v").mapInArrow(lambda b: entries(b, codes), "id long, keys array<long>")
         spread = stage(keys.select("id", F.posexplode("keys").alias("table", "key")), "keys")
-        counts = spread.groupBy("table", "key").count().where("count > 1")
-        dealt = spread.join(counts, ["table", "key"]).withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
-        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-        pairs = dealt.select("id", "table", "key", "block", other).select(
-            "id", "table", "key", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-        )
+        pairs = in_block_pairs(spread, ["table", "key"], BLOCK)
         order = ["table", "key", "low", "high"]
         partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         work = pairs.join(copies, "id").repartition(partitions, *order).sortWithinPartitions(*order)
