@@ -202,9 +202,10 @@ def jaccard(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np
     owner = np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
-    wide = max(1, MATRIX // len(sets))
+    total = int(column[-1]) + 1
+    wide = min(total, max(1, MATRIX // len(sets)))
     common = np.zeros((len(first), len(second)))
-    for lo in range(0, int(column[-1]) + 1, wide):
+    for lo in range(0, total, wide):
         a, b = np.searchsorted(column, [lo, lo + wide])
         holds = np.zeros((len(sets), wide), np.float32)
         holds[owner[a:b], column[a:b] - lo] = 1
@@ -279,7 +280,8 @@ def near_groups(
     links = stage(verified(stars, sets, threshold).select("a", "b"), "links")
     # what shares a bucket but not yet a component
     grouped = components(links)
-    placed = buckets.select("key", "id").join(grouped, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c"))
+    # (all pairs with the bucket's smallest id have been compared)
+    placed = buckets.where("id <> low").select("key", "id").join(grouped, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c"))
     mixed = placed.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("key")
     order = ["key", "low", "high"]
     pairs = in_block_pairs(stage(placed.join(mixed, "key"), "open"), ["key"], BLOCK)
