@@ -101,6 +101,16 @@ def best_fit(sizes: Iterable[int], capacity: int, bins: int | None = None) -> It
         yield at[1]
 
 
+def even_share(sizes: list[int], shards: int) -> int:
+    """Capacity at which a falling list of sizes fills the shards: the even share
+    of what is left when items larger than it have shards of their own."""
+    rest, alone = sum(sizes), 0
+    while alone < min(shards - 1, len(sizes)) and sizes[alone] * (shards - alone) > rest:
+        rest -= sizes[alone]
+        alone += 1
+    return max(1, math.ceil(rest / (shards - alone)))
+
+
 def shard(
     docs: DataFrame,
     shards: int | None = None,
@@ -165,7 +175,8 @@ def shard(
     # bounded by the shards, see BLOCKS
     items = units.groupBy("item").agg(F.sum("bytes").alias("bytes")).collect()
     items.sort(key=lambda r: (-r["bytes"], r["item"]))
-    found = best_fit([r["bytes"] for r in items], capacity, shards)
+    sizes = [r["bytes"] for r in items]
+    found = best_fit(sizes, even_share(sizes, shards) if shards else capacity, shards)
     placed = docs.sparkSession.createDataFrame(
         [(r["item"], b) for r, b in zip(items, found, strict=True)], "item string, shard int"
     )
