@@ -67,7 +67,7 @@ def test_csv_keeps_words_quotes_and_line_breaks(spark, tmp_path):
     df = spark.createDataFrame(rows, schema)
     path = str(tmp_path / "t")
     assert tables.write_table(df, path, "csv")
-    assert sorted(map(tuple, landing.read_csv(spark, path, schema).collect())) == rows
+    assert sorted(map(tuple, landing.read_csv(spark, path, schema, line_breaks=True).collect())) == rows
 
 
 def test_empty_table_is_not_written(spark, tmp_path):

@@ -16,13 +16,10 @@ def round2_sql(value: str) -> str:
     return f"rint({value} * 100) / 100"
 
 
-def settle_sum_sql(value: str) -> str:
-    """Drop the digits of a float sum that depend on the order of addition.
-
-    Tasks add in an order that changes between runs; six digits are far finer
-    than any reading, so a retried task gives the very same rounded mean.
-    """
-    return f"(rint({value} * 1e6D) / 1e6D)"
+def exact_sql(value: str) -> str:
+    """A reading as a decimal of six digits, whose sums do not depend on the order
+    of addition; NULL where it has no such form."""
+    return f"try_cast({value} AS DECIMAL(18, 6))"
 
 
 def mean_or_zero(total: Column, n: Column) -> Column:

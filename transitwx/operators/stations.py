@@ -56,7 +56,8 @@ def translate(
     Empty or NULL text gives ``""``; text without an entry is marked.
     """
     target = target or f"{text}_en"
-    entries = first_row(dictionary.select("source", "target"), ["source"], "target")
+    known = dictionary.select("source", "target").where("target is not null")
+    entries = first_row(known, ["source"], "target")
     entries = entries.select(F.col("source").alias("__source"), F.col("target").alias("__target"))
     empty = F.col(text).isNull() | (F.col(text) == "")
     value = F.when(empty, F.lit("")).otherwise(

@@ -386,6 +386,28 @@ def rolling_stats(spark, d):
     return rolling_features(obs, ["val"], HOURS, station="station").drop("val")
 
 
+@query(
+    "rolling_dense",
+    f"""SELECT event_id, station, us, {', '.join(rolling_sql('val'))}
+        FROM (SELECT event_id, station % 3 AS station, us, val FROM v_obs)""",
+)
+def rolling_dense(spark, d):
+    """Three busy stations: hundreds of rows in every window."""
+    obs = dt.v_obs(spark, d).select("event_id", (F.col("station") % 3).alias("station"), "us", "val")
+    return rolling_features(obs, ["val"], HOURS, station="station").drop("val")
+
+
+@query(
+    "rolling_uneven",
+    f"""SELECT event_id, station, us, {', '.join(rolling_sql('val', (12, 30)))}
+        FROM (SELECT event_id, station % 3 AS station, us, val FROM v_obs)""",
+)
+def rolling_uneven(spark, d):
+    """Windows of which neither divides the other."""
+    obs = dt.v_obs(spark, d).select("event_id", (F.col("station") % 3).alias("station"), "us", "val")
+    return rolling_features(obs, ["val"], (12, 30), station="station").drop("val")
+
+
 WIDE_PARAMS = [f"p_{t}" for t in EVENT_TYPES]
 
 
@@ -417,7 +439,7 @@ def rolling_month_seam(spark, d):
     obs = dt.v_obs(spark, d)
     early = F.col("ts").cast("timestamp") > cut - F.expr("interval 72 hours")
     part = obs.where(early).select("station", "us", "val")
-    rolled = rolling_features(part, ["val"], HOURS, station="station", dense=False)
+    rolled = rolling_features(part, ["val"], HOURS, station="station")
     return rolled.where(F.col("us") >= times.micros(cut)).drop("val")
 
 

@@ -70,20 +70,27 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumn("ord", F.col("_metadata.file_path"))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header; only an empty field is NULL."""
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False
+) -> DataFrame:
+    """CSV with a header; only an empty field is NULL.
+
+    ``line_breaks``: fields may hold them; a file is then read by one task.
+    """
     return (
         spark.read.schema(schema)
         .option("header", "true")
         .option("enforceSchema", "false")
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", "true")
+        .option("multiLine", line_breaks)
         .csv(path)
     )
 
 
-def read_monthly_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_monthly_csv(
+    spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False
+) -> DataFrame:
     """Monthly CSV files; ``source_month`` (YYYY-MM) comes from the file name."""
-    files = read_csv(spark, path, schema)
+    files = read_csv(spark, path, schema, line_breaks)
     return files.withColumn("source_month", month_from_name(F.col("_metadata.file_name")))
