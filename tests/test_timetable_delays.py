@@ -94,11 +94,19 @@ def test_station_names_first_match_null_and_position(spark):
         [("A", "first", 1), ("A", "second", 2), ("B", "bee", 3), (None, "none", 0)],
         "stationShortCode string, stationName string, ord int",
     )
-    out = timetable.add_station_names(df, dim, keys=["train"])
+    out = timetable.add_station_names(df, dim)
     assert out.schema["timeTableRows"].dataType.elementType.fieldNames()[0] == "stationName"
     rows = {r["train"]: r["timeTableRows"] for r in out.collect()}
     assert [s["stationName"] for s in rows[1]] == ["first", None, "bee"]
-    assert rows[2] == []
+    assert rows[2] == [] and rows[3] is None
+
+
+def test_station_names_of_equal_trains_and_null_keys(spark):
+    stops = [("A", 2, "x"), (None, 1, "y"), ("A", 0, "z")]
+    df = spark.createDataFrame([(1, stops), (1, stops), (None, stops), (None, [("Q", 1, "x")])], NESTED)
+    dim = spark.createDataFrame([("A", "first", 1)], "stationShortCode string, stationName string, ord int")
+    out = [[s["stationName"] for s in r["timeTableRows"]] for r in timetable.add_station_names(df, dim).collect()]
+    assert sorted(out, key=len) == [[None], *[["first", None, "first"]] * 3]
 
 
 STOPS = "departure_date date, train_number int, diff int"

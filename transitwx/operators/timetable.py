@@ -95,25 +95,35 @@ def renest_stops(
 def add_station_names(
     trains: DataFrame,
     stations: DataFrame,
-    keys: Sequence[str] = ("departureDate", "trainNumber"),
     order: str = "ord",
     rows: str = ROWS,
+    code: str = "stationShortCode",
 ) -> DataFrame:
-    """Put ``stationName`` in front of every stop of every train."""
+    """Put ``stationName`` in front of every stop of every train.
+
+    Names depend only on the set of stations a train calls at. They are looked up
+    once per set, and each train meets the names of its own set; trains are
+    neither told apart by keys nor taken to pieces, so equal rows and rows with
+    NULL keys keep their stops.
+    """
     fields = [f for f in trains.schema[rows].dataType.elementType.fieldNames() if f != "stationName"]
-    flat = trains.select(*keys, F.posexplode(rows).alias("idx", "s"))
-    flat = flat.select(*keys, "idx", *[F.col("s")[f].alias(f"_{f}") for f in fields])
-    named = lookup(
-        flat, stations, "_stationShortCode", "stationShortCode", {"stationName": "stationName"}, order
-    ).select(*keys, "idx", "stationName", *[F.col(f"_{f}").alias(f) for f in fields])
-    lists = renest_stops(named, keys, ["stationName", *fields], rows="__named")
-    empty = F.transform(
-        F.slice(F.col(rows), 1, 0),
-        lambda s: F.struct(F.lit(None).cast("string").alias("stationName"), *[s[f] for f in fields]),
+    calls = F.array_sort(F.array_distinct(F.array_compact(F.transform(rows, lambda s: s[code]))))
+    keyed = trains.withColumn("__calls", calls)
+    sets = keyed.select("__calls").where(F.size("__calls") > 0).distinct()
+    each = sets.select("__calls", F.explode("__calls").alias("__code"))
+    named = lookup(each, stations, "__code", code, {"stationName": "__name"}, order)
+    names = named.groupBy("__calls").agg(
+        F.map_from_entries(F.collect_list(F.struct("__code", "__name"))).alias("__names")
+    )
+    stops = F.transform(
+        rows,
+        lambda s: F.struct(
+            F.when(s[code].isNotNull(), F.col("__names")[s[code]]).alias("stationName"),
+            *[s[f].alias(f) for f in fields],
+        ),
     )
-    joined = trains.join(lists, list(keys), "left")
-    new = F.coalesce(F.col("__named"), empty)
-    return joined.select(*[new.alias(rows) if c == rows else F.col(c) for c in trains.columns])
+    joined = keyed.join(names, "__calls", "left")
+    return joined.select(*[stops.alias(rows) if c == rows else F.col(c) for c in trains.columns])
 
 
 def add_nested_offsets(trains: DataFrame, rows: str = ROWS) -> DataFrame:

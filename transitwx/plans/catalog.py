@@ -26,6 +26,7 @@ from transitwx.operators.nearest import (
 from transitwx.operators.rolling import rolling_features, trailing_slice
 from transitwx.plans import driver_tables as dt
 from transitwx.plans.driver_tables import EVENT_TYPES, PARAMETERS, VIEWS, table
+from transitwx.plans.job import load_summary, save_summary
 from transitwx.plans.weather_merge import merge_tables, nest_merged
 from transitwx.schemas import STOP, TRAIN
 from transitwx.session import prepare, scratch_path, stage
@@ -190,22 +191,35 @@ def delay_month_totals(spark, d):
     return delays.month_totals(delay_daily(spark, d))
 
 
-@query(
-    "summary_upsert",
-    f"""WITH s AS ({summary_sql('diff')})
+_UPSERT_SQL = f"""WITH s AS ({summary_sql('diff')})
         SELECT * EXCLUDE (delay_count_by_day),
                CASE WHEN departure_date < DATE '1998-01-01' THEN 0 ELSE delay_count_by_day END
                    AS delay_count_by_day
-        FROM s""",
-)
-def summary_upsert(spark, d):
+        FROM s"""
+
+
+def _old_and_new(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Old: days before 1999 with their counts zeroed. New: days from 1998 on."""
-    daily = delay_daily(spark, d)
+    daily = stage(delay_daily(spark, d), "daily")
     old = daily.where("departure_date < '1999-01-01'").withColumn(
         "delay_count_by_day", F.lit(0).cast("long")
     )
-    new = daily.where("departure_date >= '1998-01-01'")
-    return delays.upsert_summary(old, new)
+    return old, daily.where("departure_date >= '1998-01-01'")
+
+
+@query("summary_upsert", _UPSERT_SQL)
+def summary_upsert(spark, d):
+    return delays.upsert_summary(*_old_and_new(spark, d))
+
+
+@query("summary_roundtrip", _UPSERT_SQL)
+def summary_roundtrip(spark, d):
+    """The same as a stored table; the new days are saved twice."""
+    old, new = _old_and_new(spark, d)
+    path = scratch_path(spark, "summary-table")
+    for days in (old, new, new):
+        save_summary(days, path)
+    return load_summary(spark, path)
 
 
 # --- filters, lists and order of stops ----------------------------------------
@@ -272,9 +286,7 @@ def station_name_join(spark, d):
         F.col("name").alias("stationName"),
         F.col("ems").alias("ord"),
     )
-    trains = timetable.add_station_names(
-        dt.trains(spark, d), named, keys=["departureDate", "trainNumber", "version"]
-    )
+    trains = timetable.add_station_names(dt.trains(spark, d), named)
     return timetable.explode_stops(trains.select("version", timetable.ROWS)).select(
         F.col("version").alias("train_id"),
         "idx",

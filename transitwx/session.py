@@ -39,6 +39,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on whatever file system the path names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 @contextmanager
 def scratch_run(spark: SparkSession) -> Iterator[None]:
     """Remove at its end all scratch folders asked for inside.
