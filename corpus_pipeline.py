@@ -28,9 +28,14 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies, the one with the smallest id;
-    of rows with one id, one."""
-    kept = near_dedup.near_groups(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    of rows with one id, the one whose text has the smallest hash."""
+    found = near_dedup.near_groups(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("__rows"))
+    kept = stage(found.where("kept").select(F.col("doc_id").alias("__kept"), "__rows"), "kept")
+    once, again = (
+        docs.join(kept.where(rows), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi") for rows in ("__rows = 1", "__rows > 1")
+    )
+    first = F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("first")
+    return once.unionByName(again.groupBy("doc_id").agg(first).select("first.*"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,19 +10,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def in_block_pairs(rows: DataFrame, key: list[str], block: int) -> DataFrame:
+def in_block_pairs(rows: DataFrame, key: list[str], block: int, heavy: int | None = None) -> DataFrame:
     """Deal the rows (with an ``id``) of every key with two rows or more into blocks
     of about ``block`` rows, and every row into all pairs ``low <= high`` of its
     block with a block of the key. A key of n rows makes n * n / block rows, one
-    pair of blocks is one task's bounded work, and no pair of rows is a row."""
-    counts = rows.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1")
-    dealt = rows.join(counts, key).withColumn("blocks", F.ceil(F.col("rows") / block).cast("int"))
+    pair of blocks is one task's bounded work, and no pair of rows is a row.
+
+    With ``heavy``, the ``weight`` of a block's rows is about that at most, too,
+    or that of a single row."""
+    total = F.count("*") if heavy is None else F.greatest(F.count("*"), F.sum("weight") * F.lit(block) / F.lit(heavy))
+    counts = rows.groupBy(*key).agg(F.count("*").alias("rows"), total.alias("load")).where("rows > 1")
+    # (no more blocks than rows)
+    parts = F.ceil(F.least(F.col("load") / block, F.col("rows"))).cast("int")
+    dealt = rows.join(counts, key).withColumn("blocks", parts)
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return (
         dealt.withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .drop("rows", "blocks", "other")
+        .drop("rows", "load", "weight", "blocks", "other")
     )
 
 

@@ -34,6 +34,8 @@ COORDINATES = BANDS * BAND_ROWS
 NO_ID = (1 << 63) - 1
 #: Rows of a bucket that are compared at once, and entries of the matrix for it.
 BLOCK, MATRIX = 2048, 1 << 23
+#: Shingles of a block: long texts make blocks of fewer rows.
+BLOCK_SHINGLES = 1 << 21
 #: A cell of mean 1 or less holds more darts than this with less than 1e-16.
 MOST_DARTS = 20
 
@@ -276,7 +278,7 @@ def near_groups(
     stars = stage(buckets.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct(), "stars")
     ids = stars.select("a").union(stars.select("b")).distinct().toDF("id")
     sets = text.join(ids, "id", "left_semi").mapInArrow(lambda b: elements(b, shingle, counted), "id long, elements array<long>")
-    sets = stage(sets.where("size(elements) > 0"), "sets")
+    sets = stage(sets.withColumn("weight", F.size("elements")).where("weight > 0"), "sets")
     links = stage(verified(stars, sets, threshold).select("a", "b"), "links")
     # what shares a bucket but not yet a component
     grouped = components(links)
@@ -284,9 +286,10 @@ def near_groups(
     placed = buckets.where("id <> low").select("key", "id").join(grouped, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c"))
     mixed = placed.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("key")
     order = ["key", "low", "high"]
-    pairs = in_block_pairs(stage(placed.join(mixed, "key"), "open"), ["key"], BLOCK)
+    opened = placed.join(mixed, "key").join(sets.select("id", "weight"), "id")
+    pairs = in_block_pairs(stage(opened, "open"), ["key"], BLOCK, BLOCK_SHINGLES)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    work = pairs.join(sets, "id").repartition(partitions, *order).sortWithinPartitions(*order)
+    work = pairs.join(sets.drop("weight"), "id").repartition(partitions, *order).sortWithinPartitions(*order)
     more = work.select(*order, "block", "id", "c", "elements").mapInArrow(
         lambda b: compare(b, threshold), "a long, b long"
     )
