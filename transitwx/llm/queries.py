@@ -8,16 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitwx.llm import (
+    alignment,
     decontamination,
     language,
     mixing,
     near_dedup,
+    quality_rules,
     secret_scan,
     sharding,
     substring_dedup,
     toxicity,
     url_filter,
     vector_dedup,
+    whitening,
 )
 
 #: (verdict, host, path)
@@ -28,6 +31,9 @@ URL_RULES = (
     ("allow", "org", "/fr/"),
 )
 SHARDS = 40
+#: Vocabulary files, which every executor has at this place.
+TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,6 +113,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_profile(table(spark, sf_dir, "documents"), TOKENIZER_A, TOKENIZER_B)
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    return entries.select(
+        "doc_id",
+        *quality_rules.MEASURES,
+        (~quality_rules.passes(quality_rules.BASE)).alias("base_failed"),
+        quality_rules.passes(quality_rules.CURRENT).alias("kept"),
+        "failed",
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.component_rows(*whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -124,6 +149,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_language": op9_language,
     "op10_sharding": op10_sharding,
+    "op11_alignment": op11_alignment,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 
@@ -186,5 +214,38 @@ WITH sized AS (
   FROM placed
 )
 SELECT doc_id, size, source_size, target, taken FROM taken
+""",
+    "op12_quality_rules": r"""
+WITH parts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents
+), windows AS (
+  SELECT r, i, words[i:i + 2] AS w FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM parts)
+), twice AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1
+), repeated AS (
+  SELECT r, count(DISTINCT i + d) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS d) GROUP BY r
+), measured AS (
+  SELECT p.r, doc_id, len(words)::BIGINT AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         len([x for x in lines if regexp_matches(x, '[^\x20\x09-\x0D]')])::BIGINT AS n_lines,
+         len(list_distinct([x for x in lines if regexp_matches(x, '[^\x20\x09-\x0D]')]))::BIGINT AS n_own_lines,
+         len([x for x in words if regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')])::BIGINT AS n_letter_words,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM parts p LEFT JOIN repeated USING (r)
+), judged AS (
+  SELECT *, n_lines - n_own_lines AS n_dup_lines,
+         (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (word_chars < 2 * n_words)::BIGINT
+         + 8 * (word_chars > 20 * n_words)::BIGINT + 16 * (100 * n_symbols > 10 * word_chars)::BIGINT
+         + 32 * (100 * (n_lines - n_own_lines) > 60 * n_lines)::BIGINT
+         + 64 * (100 * n_letter_words < 40 * n_words)::BIGINT AS failed
+  FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_letter_words,
+       failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed
+FROM judged
 """,
 }

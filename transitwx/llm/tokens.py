@@ -1,8 +1,10 @@
 """Words and word windows as numpy hash arrays, straight from Arrow text.
 
-A slice of rows is hashed at once: a running sum of ``byte * R**i`` gives every
-word's hash as a difference of two entries, and the same over word hashes gives
-every window. No Python object is made per word.
+A slice of rows is hashed at once. Words are read eight bytes at a time, each
+block mixed before the next one is added, so that no pattern of bytes (such as
+Thue-Morse words, on which every polynomial hash modulo a power of two fails)
+makes different words equal. A running sum of ``hash * R**i`` over the words gives
+every window as a difference of two entries. No Python object is made per word.
 """
 
 from __future__ import annotations
@@ -13,10 +15,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
-MASK = (1 << 64) - 1
-#: Odd multipliers of the running sums, by hash number.
-BYTE_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: What the hashes of words begin with, by hash number.
+WORD_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
+#: Odd multipliers of the running sums over words, by hash number.
 WORD_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 SLICE_BYTES = 1 << 20
 
@@ -61,6 +66,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Keeps the first n of eight bytes.
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of byte spans; ``data`` has eight bytes more than the spans."""
+    length = ends - starts
+    h = mix(length.astype(np.uint64) ^ np.uint64(seed))
+    blocks = np.ndarray(max(len(data) - 7, 0), np.dtype("<u8"), data, strides=(1,))
+    active, done = np.flatnonzero((length > 0) & (length <= LONG_WORD)), 0
+    while len(active):
+        left = np.minimum(length[active] - done, 8)
+        h[active] = mix(h[active] ^ (blocks[starts[active] + done] & _KEEP[left]))
+        done += 8
+        active = active[length[active] > done]
+    for i in np.flatnonzero(length > LONG_WORD):
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), seed)
+    return h
+
+
 @dataclass
 class Words:
     """The words of some rows, in order."""
@@ -108,13 +133,9 @@ def words_of(column: pa.Array, table: np.ndarray, hashes: int = 1) -> Words:
         ends = np.sort(np.concatenate([ends, joined]))
     row = (np.searchsorted(bounds, starts, side="right") - 1).astype(np.int64)
     first = np.searchsorted(row, np.arange(n + 1)).astype(np.int64)
-    out = []
-    for k in range(hashes):
-        up, down = powers(BYTE_BASES[k], len(values) + 1)
-        total = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * up[:-1], out=total[1:])
-        out.append(mix((total[ends] - total[starts]) * down[starts]))
-    return Words(first, row, starts, ends, out)
+    data = np.zeros(len(values) + 8, np.uint8)
+    data[: len(values)] = values - 1
+    return Words(first, row, starts, ends, [span_hashes(data, starts, ends, WORD_SEEDS[k]) for k in range(hashes)])
 
 
 def windows(words: Words, size: int, k: int = 0) -> np.ndarray:
