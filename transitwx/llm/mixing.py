@@ -97,6 +97,11 @@ def demand_time(done: Column, knots: Column) -> Column:
     return F.when(whole > 0, F.least((piece + F.least(inside, F.lit(1.0))) / n, F.lit(1.0))).otherwise(F.lit(0.0))
 
 
+def words_in(text: Column) -> Column:
+    """Number of words; null has none."""
+    return F.when(text.isNull(), 0).otherwise(F.regexp_count(text, F.lit(WORD))).cast("long")
+
+
 def plan_mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -119,7 +124,7 @@ def plan_mix(
     equal rows share whatever order Spark gives them, with the same sums. An
     empty table gives an empty result.
     """
-    size = F.when(F.col(text_col).isNull(), 0).otherwise(F.regexp_count(F.col(text_col), F.lit(WORD))).cast("long")
+    size = words_in(F.col(text_col))
     sized = stage(
         docs.select(
             F.col(id_col).alias("doc_id"),
@@ -160,15 +165,16 @@ def plan_mix(
     )
 
 
-def training_order(plan: DataFrame) -> DataFrame:
+def training_order(plan: DataFrame, *others: str) -> DataFrame:
     """One row per copy of a document, range-sorted by training position:
-    ``doc_id, source, copy, size, words, position``. Only the last copy is in part."""
+    ``doc_id, source, copy, size, words, position`` and ``others`` of the plan's
+    columns. Only the last copy is in part."""
     copies = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("taken") / F.col("size")).cast("int"), F.lit(1)) - 1)
     rows = plan.where("taken > 0").withColumn("copy", F.explode(copies))
     done = (F.col("start") + F.col("copy") * F.col("source_size")) / F.col("target")
     return (
         rows.withColumn("words", F.least(F.col("taken") - F.col("copy") * F.col("size"), F.col("size")))
         .withColumn("position", demand_time(F.least(done, F.lit(1.0)), F.col("knots")))
-        .select("doc_id", "source", "copy", "size", "words", "position")
+        .select("doc_id", "source", "copy", "size", "words", "position", *others)
         .orderBy("position", "doc_id", "copy")
     )

@@ -12,14 +12,15 @@ short one some K ln K, instead of K hashes for every shingle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from transitwx.llm.bits import in_bits
 from transitwx.llm.blocks import groups, in_block_pairs, roots
 from transitwx.llm.graph import components
 from transitwx.llm.tokens import folded_table, mix, slices, valid_windows, windows, words_of
@@ -36,6 +37,9 @@ NO_ID = (1 << 63) - 1
 BLOCK, MATRIX = 2048, 1 << 23
 #: Shingles of a block: long texts make blocks of fewer rows.
 BLOCK_SHINGLES = 1 << 21
+#: Of every coordinate so many bits are kept to sort out candidates before their
+#: shingles are looked at; a pair at the threshold is lost with at most this.
+CODE_BITS, LOST = 2, 1e-7
 #: A cell of mean 1 or less holds more darts than this with less than 1e-16.
 MOST_DARTS = 20
 
@@ -144,13 +148,40 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
-SIGNED_DDL = "id long, digest long, bands array<long>"
+def codes_of(signature: np.ndarray) -> list[np.ndarray]:
+    """The last CODE_BITS bits of all coordinates, packed into 64-bit columns."""
+    per = 64 // CODE_BITS
+    few = signature & np.uint64((1 << CODE_BITS) - 1)
+    shifts = np.arange(per, dtype=np.uint64) * np.uint64(CODE_BITS)
+    parts = [few[:, lo : lo + per] for lo in range(0, few.shape[1], per)]
+    return [np.bitwise_or.reduce(p << shifts[: p.shape[1]], axis=1).view(np.int64) for p in parts]
+
+
+def code_columns(coordinates: int) -> list[str]:
+    return [f"c{i}" for i in range(-(-coordinates * CODE_BITS // 64))]
+
+
+def most_unequal(coordinates: int, threshold: float) -> int:
+    """Coordinates whose bits may differ: more do with at most LOST in a pair at the
+    threshold."""
+    p = (1 - threshold) * (1 - 2.0**-CODE_BITS)
+    tail = 1.0
+    for k in range(coordinates + 1):
+        tail -= math.comb(coordinates, k) * p**k * (1 - p) ** (coordinates - k)
+        if tail <= LOST:
+            return k
+    return coordinates
+
+
+def signed_ddl(coordinates: int) -> str:
+    return ", ".join(["row long, id long, digest long, check long, bands array<long>", *(f"{c} long" for c in code_columns(coordinates))])
 
 
 def sign(batches: Iterator[pa.RecordBatch], size: int, counted: bool, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """Band keys of every text, and a digest of its shingles; no bands without words."""
+    """Band keys of every text, bits of its signature, and a digest of its shingles in
+    two halves; no bands without words."""
+    names = ["row", "id", "digest", "check", "bands", *code_columns(bands * rows)]
     for batch in batches:
-        ids = batch.column("id")
         for start, part in slices(batch.column("text")):
             n = len(part)
             row, key, count = shingles(part, size)
@@ -159,16 +190,19 @@ def sign(batches: Iterator[pa.RecordBatch], size: int, counted: bool, bands: int
             keys = band_keys(signature, bands, rows).view(np.int64)
             full = np.bincount(row, minlength=n) > 0
             once = mix(key ^ mix(count.astype(np.uint64) if counted else np.ones(len(key), np.uint64)))
-            digest = np.zeros(n, np.uint64)
-            np.add.at(digest, row, once)
+            digest = np.zeros((2, n), np.uint64)
+            np.add.at(digest[0], row, once)
+            np.add.at(digest[1], row, mix(once ^ np.uint64(0x452821E638D01377)))
             offsets = np.append(0, np.cumsum(np.where(full, bands, 0)))
             yield pa.record_batch(
                 [
-                    ids.slice(start, n),
-                    pa.array(digest.view(np.int64), mask=~full),
+                    batch.column("row").slice(start, n),
+                    batch.column("id").slice(start, n),
+                    *(pa.array(d.view(np.int64), mask=~full) for d in digest),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[full].reshape(-1))),
+                    *map(pa.array, codes_of(signature)),
                 ],
-                names=["id", "digest", "bands"],
+                names=names,
             )
 
 
@@ -187,10 +221,25 @@ def elements(batches: Iterator[pa.RecordBatch], size: int, counted: bool) -> Ite
             yield pa.record_batch([ids.slice(start, len(part)), lists], names=["id", "elements"])
 
 
+def alike(pairs: DataFrame, copies: DataFrame, coordinates: int, threshold: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose signatures agree often enough for the threshold."""
+    names = code_columns(coordinates)
+    left, right = (copies.select(F.col("rep").alias(x), *(F.col(c).alias(f"{x}{c}") for c in names)) for x in ("a", "b"))
+    # a set bit for every coordinate that differs
+    odd = F.lit(0x5555555555555555)
+    unequal = F.lit(0)
+    for c in names:
+        x = F.col(f"a{c}").bitwiseXOR(F.col(f"b{c}"))
+        unequal = unequal + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(odd))
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.where(unequal <= most_unequal(coordinates, threshold)).select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs ``(a, b)`` whose sets have at least that Jaccard similarity."""
-    left = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
+    # (merged at every size, so that the pairs are never what is broadcast)
+    left = sets.select(F.col("id").alias("a"), F.col("elements").alias("x")).hint("merge")
+    right = sets.select(F.col("id").alias("b"), F.col("elements").alias("y")).hint("merge")
     common = F.size(F.array_intersect("x", "y"))
     joined = pairs.join(left, "a").join(right, "b")
     similarity = common / (F.size("x") + F.size("y") - common)
@@ -215,6 +264,38 @@ def jaccard(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np
     return common / (sizes[first][:, None] + sizes[second][None, :] - common)
 
 
+def sift(batches: Iterator[pa.RecordBatch], names: list[str], most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a block pair that have a row of another component opposite whose
+    signature differs in ``most`` coordinates at most, and with which they share no
+    earlier band: every such pair is left in one bucket."""
+    odd = np.uint64(0x5555555555555555)
+    for g in groups(batches, ["key", "low", "high"]):
+        c, block = (g.column(n).to_numpy(zero_copy_only=False) for n in ("c", "block"))
+        low, high = g.column("low")[0].as_py(), g.column("high")[0].as_py()
+        first = np.flatnonzero(block == low)
+        second = first if low == high else np.flatnonzero(block == high)
+        if not len(first) or not len(second):
+            continue
+        bands = g.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(len(g), -1)
+        band = int(np.flatnonzero(bands[0] == g.column("key")[0].as_py())[0])
+        codes = np.stack([g.column(n).to_numpy(zero_copy_only=False).view(np.uint64) for n in names], axis=1)
+        keep = np.zeros(len(g), bool)
+        step = max(1, (1 << 20) // len(second))
+        for lo in range(0, len(first), step):
+            part = first[lo : lo + step]
+            unequal = np.zeros((len(part), len(second)), np.int64)
+            for i in range(len(names)):
+                x = codes[part, i][:, None] ^ codes[second, i][None, :]
+                unequal += np.bitwise_count((x | (x >> np.uint64(1))) & odd)
+            near = (unequal <= most) & (c[part][:, None] != c[second][None, :])
+            for i in range(band):
+                near &= bands[part, i][:, None] != bands[second, i][None, :]
+            keep[part] |= near.any(axis=1)
+            keep[second] |= near.any(axis=0)
+        if keep.any():
+            yield pa.Table.from_batches([g.drop_columns(["bands", *names])]).filter(pa.array(keep)).combine_chunks().to_batches()[0]
+
+
 def compare(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """Links between rows of a block pair that are in different components so far,
     as many as it takes to connect what they connect."""
@@ -255,29 +336,35 @@ def near_groups(
     Texts with equal shingles are one node from the start. In every band the
     documents of a bucket are compared with its smallest id; what this leaves in
     different components of one bucket is then compared in full, so that no
-    bucket's pairs are ever listed. All candidates are confirmed on the shingles
-    themselves.
+    bucket's pairs are ever listed. Candidates whose signatures differ too often are
+    dropped (of pairs at the threshold at most one in ten million); all others are
+    confirmed on the shingles themselves.
 
     Null, empty and word-less texts are linked with nothing. Rows with one id
     are one node (a null id counts as the largest and is returned as null), of
     which one row may be kept. An empty table gives an empty result.
     """
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
+    coordinates = bands * band_rows
+    text = docs.select(
+        F.monotonically_increasing_id().alias("row"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
         F.col(text_col).alias("text"),
     )
-    text = rows.select("id", "text")
-    signed = stage(text.mapInArrow(lambda b: sign(b, shingle, counted, bands, band_rows), SIGNED_DDL), "signed")
-    copies = signed.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
-    copies = stage(copies, "copies")
-    same = signed.where("digest is not null").join(copies.select("digest", "rep"), "digest").select("id", "rep").where("id <> rep")
+    signed = stage(text.mapInArrow(lambda b: sign(b, shingle, counted, bands, band_rows), signed_ddl(coordinates)), "signed")
+    own = ["bands", *code_columns(coordinates)]
+    full = signed.where("digest is not null")
+    copies = full.groupBy("digest", "check").agg(F.min("id").alias("rep"), F.any_value(F.struct(*own)).alias("own"))
+    copies = stage(copies.select("digest", "check", "rep", "own.*"), "copies")
+    same = full.select("digest", "check", "id").join(copies.select("digest", "check", "rep"), ["digest", "check"])
+    same = same.select("id", "rep").where("id <> rep")
     keys = copies.select(F.col("rep").alias("id"), F.explode("bands").alias("key"))
     lowest = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").drop("high")
     buckets = stage(keys.join(lowest, "key"), "buckets")
-    stars = stage(buckets.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct(), "stars")
-    ids = stars.select("a").union(stars.select("b")).distinct().toDF("id")
-    sets = text.join(ids, "id", "left_semi").mapInArrow(lambda b: elements(b, shingle, counted), "id long, elements array<long>")
+    stars = buckets.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
+    stars = stage(alike(stars, copies, coordinates, threshold), "stars")
+    # texts of which shingles are needed: ids in a bucket
+    wanted, flag = in_bits(text.select("id", "text"), "id", stage(buckets.select("id").distinct(), "ids"))
+    sets = wanted.where(flag).select("id", "text").mapInArrow(lambda b: elements(b, shingle, counted), "id long, elements array<long>")
     sets = stage(sets.withColumn("weight", F.size("elements")).where("weight > 0"), "sets")
     links = stage(verified(stars, sets, threshold).select("a", "b"), "links")
     # what shares a bucket but not yet a component
@@ -286,22 +373,29 @@ def near_groups(
     placed = buckets.where("id <> low").select("key", "id").join(grouped, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("c"))
     mixed = placed.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 < c2").select("key")
     order = ["key", "low", "high"]
-    opened = placed.join(mixed, "key").join(sets.select("id", "weight"), "id")
-    pairs = in_block_pairs(stage(opened, "open"), ["key"], BLOCK, BLOCK_SHINGLES)
+    codes = code_columns(coordinates)
+    opened = placed.join(mixed, "key").join(copies.select(F.col("rep").alias("id"), "bands", *codes), "id")
+    opened = stage(opened.join(sets.select("id", "weight"), "id"), "open")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    work = pairs.join(sets.drop("weight"), "id").repartition(partitions, *order).sortWithinPartitions(*order)
+
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.repartition(partitions, *order).sortWithinPartitions(*order)
+
+    # only rows whose signature is near another's in the bucket meet with their shingles
+    most, kept = most_unequal(coordinates, threshold), [*order, "block", "id", "c"]
+    pairs = together(in_block_pairs(opened, ["key"], BLOCK, BLOCK_SHINGLES).select(*kept, "bands", *codes))
+    near = stage(pairs.mapInArrow(lambda b: sift(b, codes, most), pairs.select(*kept).schema), "near")
+    work = together(near.join(sets.drop("weight"), "id"))
     more = work.select(*order, "block", "id", "c", "elements").mapInArrow(
         lambda b: compare(b, threshold), "a long, b long"
     )
     found = components(links.union(more).union(same.toDF("a", "b")))
-    nth = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("text")))
-    placed = (
-        rows.select("doc_id", "id", nth.alias("nth"))
-        .join(found, "id", "left")
-        .withColumn("component", F.coalesce("component_id", "id"))
-    )
+    # of rows that repeat an id, one
+    again = signed.groupBy("id").agg(F.min("row").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    placed = signed.select("row", "id").join(found, "id", "left").join(stage(again, "again"), "id", "left")
+    component = F.coalesce("component_id", "id")
     return placed.select(
-        "doc_id",
-        F.when(F.col("component") == NO_ID, F.lit(None)).otherwise(F.col("component")).cast("long").alias("component_id"),
-        ((F.col("component") == F.col("id")) & (F.col("nth") == 1)).alias("kept"),
+        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
+        F.when(component != NO_ID, component).alias("component_id"),
+        ((component == F.col("id")) & F.coalesce(F.col("row") == F.col("first"), F.lit(True))).alias("kept"),
     )
