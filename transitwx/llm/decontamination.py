@@ -52,17 +52,19 @@ SEEDS = pa.schema([("hash", pa.int64()), ("id", pa.int64()), ("at", pa.int32())]
 SEEDS_DDL = "hash long, id long, at int"
 
 
-def seeds(batches: Iterator[pa.RecordBatch], masks: tuple[str, ...], bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def seeds(batches: Iterator[pa.RecordBatch], masks: tuple[str, ...], bits: np.ndarray | None, whole: int = 0) -> Iterator[pa.RecordBatch]:
     """Masked runs and where they begin; if ``bits`` are given, without most of those
-    that are not in them."""
+    that are not in them. Masks shorter than ``whole`` fit whole texts only."""
     table = folded_table()
     for batch in batches:
-        ids = batch.column("id").to_numpy(zero_copy_only=False)
+        ids = batch.column("id")
         for start, part in slices(batch.column("text")):
             words = words_of(part, table)
             for mask in masks:
                 keys = masked(words.hashes[0], mask).view(np.int64)
                 ok = words.row[: len(keys)] == words.row[len(mask) - 1 : len(mask) - 1 + len(keys)]
+                if len(mask) < whole:
+                    ok &= np.diff(words.first)[words.row[: len(keys)]] == len(mask)
                 if bits is not None:
                     at = keys & (8 * len(bits) - 1)
                     ok &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
@@ -70,7 +72,7 @@ def seeds(batches: Iterator[pa.RecordBatch], masks: tuple[str, ...], bits: np.nd
                 row = words.row[pick]
                 for lo in range(0, len(pick), 50_000):
                     p, r = pick[lo : lo + 50_000], row[lo : lo + 50_000]
-                    yield pa.record_batch([keys[p], ids[r + start], (p - words.first[r]).astype(np.int32)], schema=SEEDS)
+                    yield pa.record_batch([keys[p], ids.take(pa.array(r + start)), (p - words.first[r]).astype(np.int32)], schema=SEEDS)
 
 
 def word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +160,7 @@ def find_contamination(
     shortest = min(map(len, masks))
     short = [r[0] for r in lists.select(F.size("words").alias("n")).where(F.col("n") < shortest).distinct().collect()]
     runs = (*masks, *("1" * n for n in sorted(short)))  # at most shortest - 1 more
-    known = stage(items.distinct().mapInArrow(lambda b: seeds(b, runs, None), SEEDS_DDL), "item-seeds")
+    known = stage(items.distinct().mapInArrow(lambda b: seeds(b, runs, None, shortest), SEEDS_DDL), "item-seeds")
     shared = docs.sparkSession.sparkContext.broadcast(bit_array(known.select("hash").distinct(), "hash"))
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     met = known.select("hash", F.col("id").alias("item_id"), F.col("at").alias("b_at"))
