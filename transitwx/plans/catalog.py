@@ -420,6 +420,38 @@ def rolling_uneven(spark, d):
     return rolling_features(obs, ["val"], (12, 30), station="station").drop("val")
 
 
+#: Every fifth reading is a multiple of 2**47, beyond what decimals of six digits hold.
+LARGE = "CASE WHEN event_id % 5 = 0 THEN floor(val) * 140737488355328 ELSE val END"
+LARGE_PARTS = (
+    "CASE WHEN abs(val) < 68719476736 THEN round_even(val * 65536, 0) / 65536 ELSE 0 END",
+    "CASE WHEN abs(val) < 68719476736 THEN val - round_even(val * 65536, 0) / 65536 ELSE val END",
+)
+
+
+def _large_sql(hours) -> str:
+    out = []
+    for h in hours:
+        frame = f"OVER (PARTITION BY station ORDER BY us RANGE BETWEEN {h * HOUR_US - 1} PRECEDING AND CURRENT ROW)"
+        s = f"(sum({LARGE_PARTS[0]}) {frame} + sum({LARGE_PARTS[1]}) {frame})"
+        total = f"(CASE WHEN abs({s}) < 8589934592 THEN round_even({s} * 1e6, 0) / 1e6 ELSE {s} END)"
+        out.append(f'{r2(f"{total} / count(val) {frame}")} AS "val ({h}h mean)"')
+        out.append(f'{r2(total)} AS "val ({h}h cumulative)"')
+    return ", ".join(out)
+
+
+@query(
+    "rolling_large",
+    f"""SELECT event_id, station, us, {_large_sql((12, 30, 72))}
+        FROM (SELECT event_id, station % 3 AS station, us, CAST({LARGE} AS DOUBLE) AS val FROM v_obs)""",
+)
+def rolling_large(spark, d):
+    """Very large readings among usual ones; three windows, one shuffle."""
+    obs = dt.v_obs(spark, d).select(
+        "event_id", (F.col("station") % 3).alias("station"), "us", F.expr(LARGE).cast("double").alias("val")
+    )
+    return rolling_features(obs, ["val"], (12, 30, 72), without_extremes=["val"], station="station").drop("val")
+
+
 WIDE_PARAMS = [f"p_{t}" for t in EVENT_TYPES]
 
 
