@@ -208,3 +208,45 @@ def test_first_row_is_reduced_before_the_shuffle(spark):
     assert out.columns == df.columns
     assert sorted(map(tuple, out.collect())) == [("a", 1, "x"), ("b", 5, "z")]
     assert "partial_min_by" in plan_of(out)
+
+
+def test_python_text_escapes(spark):
+    from transitwx.functions.text import decode_records
+    from transitwx.schemas import STOP
+
+    names = ["Oulu\xa0asema", "tab\t\x07\x0b\\x41 it's \"q\"", "None, (a, )", "\u2028\U000e0001\ud800"[:2]]
+    lists = [[{"stationName": n, "differenceInMinutes": 3}] for n in names]
+    texts = [ascii(x) for x in lists] + [repr(tuple(lists[0])), repr((lists[0][0],))]
+    bad = [r"[{'stationName': 'a\q'}]", r"[{'stationName': '\N{DASH}'}]", r"[{'stationName': '\x4'}]", "nothing"]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts + bad)], "i int, t string")
+    got = [r["d"] for r in table.select("i", decode_records(F.col("t"), STOP).alias("d")).orderBy("i").collect()]
+    assert [[x["stationName"] for x in d] for d in got[:6]] == [[n] for n in [*names, names[0], names[0]]]
+    assert got[6:] == [None] * 4
+    nan = spark.createDataFrame([("[{'stationName': 'nan', 'differenceInMinutes': nan}]",)], "t string")
+    first = nan.select(decode_records(F.col("t"), STOP).alias("d")).first()["d"][0]
+    assert (first["stationName"], first["differenceInMinutes"]) == ("nan", None)
+
+
+def test_summary_reads_stops_once(spark, tmp_path):
+    from transitwx.operators.delays import delay_summary, distinct_trains, tally, train_bitmaps
+
+    rows = [(i % 5, f"2024-0{1 + i % 2}-0{1 + i % 3}", i % 7 if i % 4 else None, i % 11) for i in range(300)]
+    path = str(tmp_path / "stops")
+    spark.createDataFrame(rows, "train_number long, day string, a int, b int").write.parquet(path)
+    stops = spark.read.parquet(path).withColumn("departure_date", F.col("day").cast("date"))
+    summary = delay_summary(stops, ["a", "b"], 3, 2)
+    assert plan_of(summary).count("FileScan parquet") == 1
+    got = {(r["metric"], str(r["departure_date"])): r for r in summary.collect()}
+    for i, metric in ((2, "a"), (3, "b")):
+        for day in {r[1] for r in rows}:
+            mine = [r for r in rows if r[1] == day]
+            late = [r[i] for r in mine if r[i] is not None and r[i] >= 3]
+            top = sorted(set(late), key=lambda v: (-late.count(v), v))[:2]
+            r = got[metric, day]
+            assert (r["delay_count_by_day"], r["total_delay_minutes"], r["max_delay_minutes"]) == (len(late), sum(late), max(late))
+            assert r["total_schedules_by_day"] == len(mine) and r["total_trains_on_route"] == len({x[0] for x in mine})
+            assert r["top_10_common_delays"] == str(top)
+    spans = distinct_trains(train_bitmaps(tally(stops, ["a"])), month=F.month("day"))
+    assert {r["month"]: r["distinct_trains"] for r in spans.collect()} == {1: 5, 2: 5}
+    named = stops.withColumn("train_number", F.concat(F.lit("T"), "train_number"))
+    assert delay_summary(named, ["a", "b"], 3, 2).exceptAll(summary).count() == 0

@@ -27,6 +27,53 @@ def flatten_documents(docs: DataFrame, params: Sequence[str], body: str = "value
     )
 
 
+def document_readings(docs: DataFrame, body: str = "value") -> DataFrame:
+    """Every reading of nested documents as a row, whatever its parameter:
+    ``timestamp, station_name, parameter, value, text``.
+
+    Documents are read as they come, without a schema. ``value`` is the number, NULL
+    where there is none or NaN; ``text`` holds what is not a number. Broken
+    documents have no readings.
+    """
+    parsed = docs.select(F.try_parse_json(F.regexp_replace(body, r":\s*-?(?:NaN|Infinity)\b", ": null")).alias("v"))
+
+    def opened(df: DataFrame, kept: Sequence[str], key: str) -> DataFrame:
+        found = df.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer()))
+        return found.select(*kept, F.col("key").alias(key), F.col("value").alias("v"))
+
+    rows = opened(parsed, [], "time")
+    rows = opened(rows, ["time"], "station_name")
+    rows = opened(rows, ["time", "station_name"], "parameter")
+    reading = F.try_variant_get("v", "$.value", "double")
+    kind = F.schema_of_variant(F.coalesce(F.try_variant_get("v", "$.value", "variant"), F.parse_json(F.lit("null"))))
+    other = F.when(kind.isin("STRING", "BOOLEAN") | kind.rlike("^(OBJECT|ARRAY)"), F.to_json(F.try_variant_get("v", "$.value", "variant")))
+    return rows.select(
+        parse_lenient(F.col("time")).alias("timestamp"),
+        "station_name",
+        "parameter",
+        F.when(other.isNull(), reading).alias("value"),
+        other.alias("text"),
+    )
+
+
+def unlisted_parameters(docs: DataFrame, params: Sequence[str], body: str = "value") -> DataFrame:
+    """Parameters of the documents that ``params`` does not list, with their rows,
+    readings, stations and times."""
+    rows = document_readings(docs, body).where(~F.col("parameter").isin(list(params)))
+    return rows.groupBy("parameter").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("value").alias("readings"),
+        F.count_distinct("station_name").alias("stations"),
+        F.min("timestamp").alias("first"),
+        F.max("timestamp").alias("last"),
+    )
+
+
+def weather_parameters(settings) -> list[str]:
+    """All parameters that settings name."""
+    return list(dict.fromkeys([*settings.rolling_params, *settings.fallback_features]))
+
+
 def pivot_readings(
     readings: DataFrame,
     keys: Sequence[str],
@@ -58,6 +105,14 @@ def station_metadata_by_key(stations: DataFrame, order: str = "ord") -> DataFram
     return first_row(stations, ["station_name"], order)
 
 
+def in_box(
+    places: DataFrame, box: tuple[float, float, float, float], lat: str = "latitude", lon: str = "longitude"
+) -> DataFrame:
+    """Places in a box (west, south, east, north)."""
+    west, south, east, north = box
+    return places.where(F.col(lat).between(south, north) & F.col(lon).between(west, east))
+
+
 def in_box_and_time(
     obs: DataFrame,
     box: tuple[float, float, float, float],
@@ -68,9 +123,4 @@ def in_box_and_time(
     lon: str = "longitude",
 ) -> DataFrame:
     """Observations in a box (west, south, east, north) and a closed time range."""
-    west, south, east, north = box
-    return obs.where(
-        F.col(time).between(start, stop)
-        & F.col(lat).between(south, north)
-        & F.col(lon).between(west, east)
-    )
+    return in_box(obs.where(F.col(time).between(start, stop)), box, lat, lon)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitwx.config import DELAY, DELAY_FROM_ORIGIN, DELAY_FROM_PREVIOUS, HOUR_US, Settings
+from transitwx.config import DAY_US, DELAY, DELAY_FROM_ORIGIN, DELAY_FROM_PREVIOUS, HOUR_US, Settings
 from transitwx.functions import times
 from transitwx.functions.geo import haversine_km
 from transitwx.functions.naming import rolling_columns
@@ -23,21 +23,21 @@ from transitwx.operators.nearest import (
     top_stations,
     top_stations_wide,
 )
-from transitwx.operators.rolling import rolling_features, trailing_slice
+from transitwx.operators.rolling import rolling_features, rolling_for_month, trailing_slice
 from transitwx.plans import driver_tables as dt
 from transitwx.plans.driver_tables import EVENT_TYPES, PARAMETERS, VIEWS, table
-from transitwx.plans.job import load_summary, save_summary
+from transitwx.plans.job import load_summary, run_month, save_summary
 from transitwx.plans.weather_merge import merge_tables, nest_merged
 from transitwx.schemas import STOP, TRAIN
 from transitwx.session import prepare, scratch_path, stage
 from transitwx.sources import landing, tables
+from transitwx.sources.releases import read_release
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 HOURS = (12, 24, 72)
-WHOLE_RANGE = ("1995-01-01", "2001-12-31")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -191,6 +191,18 @@ def delay_month_totals(spark, d):
     return delays.month_totals(delay_daily(spark, d))
 
 
+@query(
+    "month_distinct_trains",
+    """SELECT CAST(year(departure_date) AS INT) AS year, CAST(month(departure_date) AS INT) AS month,
+              count(DISTINCT train_number) AS distinct_trains
+       FROM v_stop WHERE departure_date IS NOT NULL GROUP BY ALL""",
+)
+def month_distinct_trains(spark, d):
+    """Trains that ran in a month, merged from exact bitmaps of its days."""
+    days = stage(delays.train_bitmaps(delays.tally(dt.v_stop(spark, d), ["diff"])), "train-days")
+    return delays.distinct_trains(days, year=F.year("day"), month=F.month("day"))
+
+
 _UPSERT_SQL = f"""WITH s AS ({summary_sql('diff')})
         SELECT * EXCLUDE (delay_count_by_day),
                CASE WHEN departure_date < DATE '1998-01-01' THEN 0 ELSE delay_count_by_day END
@@ -369,6 +381,13 @@ def obs_pivot(spark, d):
     return _pivoted(spark, d)
 
 
+def _documents(spark, d):
+    leaf = F.create_map("param", F.struct(F.col("val").alias("value")))
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    body = F.create_map(at, F.create_map(F.col("station").cast("string"), leaf))
+    return dt.v_obs(spark, d).select(F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
+
+
 @query(
     "obs_documents",
     "SELECT CAST(station AS VARCHAR) AS station_name, us, "
@@ -377,11 +396,7 @@ def obs_pivot(spark, d):
 )
 def obs_documents(spark, d):
     """One nested document per reading, flattened to wide rows."""
-    leaf = F.create_map("param", F.struct(F.col("val").alias("value")))
-    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    body = F.create_map(at, F.create_map(F.col("station").cast("string"), leaf))
-    docs = dt.v_obs(spark, d).select(F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
-    wide = weather.flatten_documents(docs, EVENT_TYPES)
+    wide = weather.flatten_documents(_documents(spark, d), EVENT_TYPES)
     return wide.select(
         "station_name",
         times.micros(F.col("timestamp")).alias("us"),
@@ -487,6 +502,71 @@ def rolling_month_seam(spark, d):
     return rolled.where(F.col("us") >= times.micros(cut)).drop("val")
 
 
+_LATER = 20 * DAY_US
+
+
+@query(
+    "rolling_month",
+    f"""SELECT * FROM (SELECT station, us, {', '.join(rolling_sql('val'))}
+                       FROM (SELECT station, us + {_LATER} AS us, val FROM v_obs))
+        WHERE us >= epoch_us(TIMESTAMP '2024-02-01 00:00:00')""",
+)
+def rolling_month(spark, d):
+    """February of observations moved by 20 days, read with what its windows need of January."""
+    obs = dt.v_obs(spark, d).select(
+        "station", (F.col("us") + _LATER).alias("us"), F.timestamp_micros(F.col("us") + _LATER).alias("timestamp"), "val"
+    )
+    rolled = rolling_features(rolling_for_month(obs, "2024-02"), ["val"], HOURS, station="station")
+    return rolled.where("in_month").drop("val", "timestamp", "in_month")
+
+
+@query("rolling_once", f"SELECT station, us, {', '.join(rolling_sql('val'))} FROM v_obs")
+def rolling_once(spark, d):
+    """A table that has its features already, such as a stored one, is left as it is."""
+    obs = dt.v_obs(spark, d).select("station", "us", "val")
+    stored = stage(rolling_features(obs, ["val"], HOURS, station="station"), "features")
+    return rolling_features(stored, ["val"], HOURS, station="station").drop("val")
+
+
+@query(
+    "unlisted_parameters",
+    """SELECT param AS parameter, count(*) AS rows, count(val) AS readings, count(DISTINCT station) AS stations,
+              epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us
+       FROM v_obs WHERE param NOT IN ('view', 'click') GROUP BY param""",
+)
+def unlisted_parameters(spark, d):
+    """What nested documents hold besides the parameters asked for."""
+    found = weather.unlisted_parameters(_documents(spark, d), ["view", "click"])
+    return found.select(
+        "parameter", "rows", "readings", "stations",
+        F.unix_micros("first").alias("first_us"), F.unix_micros("last").alias("last_us"),
+    )
+
+
+@query(
+    "document_readings",
+    "SELECT CAST(station AS VARCHAR) AS station_name, us, param AS parameter, val AS value FROM v_obs",
+)
+def document_readings(spark, d):
+    """Every reading of nested documents as a row, without naming parameters."""
+    rows = weather.document_readings(_documents(spark, d))
+    return rows.select("station_name", times.micros(F.col("timestamp")).alias("us"), "parameter", "value")
+
+
+@query(
+    "station_metadata",
+    "SELECT name AS station_name, lat AS latitude, lon AS longitude FROM v_ems WHERE ems % 7 = 1",
+)
+def station_metadata(spark, d):
+    """Stations of the first document that lists any; an earlier one is empty."""
+    place = F.struct(F.col("lat").alias("latitude"), F.col("lon").alias("longitude"))
+    listed = dt.v_ems(spark, d).groupBy((F.col("ems") % 7).alias("ord")).agg(
+        F.map_from_entries(F.collect_list(F.struct("name", place))).alias("stations")
+    )
+    body = F.when(F.col("ord") == 0, F.lit("{}")).otherwise(F.to_json("stations"))
+    return weather.station_metadata(listed.select("ord", body.alias("value")))
+
+
 @query(
     "trailing_slice",
     "SELECT event_id, station, us FROM v_obs WHERE ts > (SELECT max(ts) FROM v_obs) - INTERVAL 72 HOURS",
@@ -817,10 +897,8 @@ def merged(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("stop_weather", _MERGE_SQL)
-def stop_weather(spark, d):
-    """Every stop with its delay offsets and the weather around it."""
-    return merged(spark, d).select(
+def _stop_columns(stops: DataFrame) -> DataFrame:
+    return stops.select(
         F.col("version").alias("train_id"),
         "idx",
         F.col("stationShortCode").alias("station_code"),
@@ -834,6 +912,22 @@ def stop_weather(spark, d):
     )
 
 
+@query("stop_weather", _MERGE_SQL)
+def stop_weather(spark, d):
+    """Every stop with its delay offsets and the weather around it."""
+    return _stop_columns(merged(spark, d))
+
+
+@query("job_stops", _MERGE_SQL)
+def job_stops(spark, d):
+    """The stops that the writing job publishes for a month."""
+    out = scratch_path(prepare(spark), "job")
+    trains = stage(dt.trains(spark, d, shift_to_2024=True), "trains")
+    sides = dt.weather(spark, d), dt.train_stations(spark, d), dt.places(spark, d)
+    run_month(trains, *sides, out, "2024-01", MERGE, train_columns=("trainNumber", "departureDate", "version"))
+    return _stop_columns(read_release(spark, out, "stops"))
+
+
 @query(
     "stop_weather_nested",
     f"""SELECT train_id, count(*) AS stops, count(*) FILTER (WHERE weather_status = 'ok') AS observed,
@@ -1017,7 +1111,8 @@ def train_scan(spark, d):
     tables.write_monthly(
         landed.withColumn("day", day), path, "day", fmt="json"
     )
-    back = landing.read_trains(spark, path, *WHOLE_RANGE, schema=TRAIN)
+    first, last = stage(landed.select("departureDate"), "days").agg(F.min("departureDate"), F.max("departureDate")).first()
+    back = landing.read_trains(spark, path, first or "1970-01-01", last or "1970-01-01", schema=TRAIN)
     codes = F.col(f"{timetable.ROWS}.stationShortCode")
     return back.select(
         F.col("version").alias("train_id"),

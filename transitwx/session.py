@@ -39,10 +39,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system that a path names, and the path as it takes it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder, on whatever file system the path names."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    fs, where = file_system(spark, path)
+    return fs.exists(where)
 
 
 @contextmanager
@@ -57,11 +63,9 @@ def scratch_run(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _run.reset(token)
-        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for p in made:
-            path = path_of(p)
-            path.getFileSystem(conf).delete(path, True)
+            fs, path = file_system(spark, p)
+            fs.delete(path, True)
 
 
 @contextmanager
