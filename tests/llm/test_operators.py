@@ -280,6 +280,39 @@ def test_vectors_against_all_pairs(spark):
     assert vector_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def pairs_near(rng, n, d, at, spread, shift):
+    """Vectors, half of them with a partner at the cosine ``at``."""
+    x = rng.normal(size=(n, d)) * spread + shift
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=(n, d)) * spread
+    side -= (side * x).sum(axis=1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    return np.concatenate([x, at * x + np.sqrt(1 - at**2) * side])
+
+
+@pytest.mark.parametrize("kind", ["isotropic", "shifted", "anisotropic"])
+def test_recall_at_the_threshold(spark, kind):
+    rng = np.random.default_rng(3)
+    d = 32
+    spread = np.geomspace(1, 0.05, d) if kind == "anisotropic" else np.ones(d)
+    shift = rng.normal(size=d) * 0.45 if kind == "shifted" else 0.0
+    x = pairs_near(rng, 1500, d, 0.901, spread, shift)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in vector_dedup.near_vectors(df).collect()}
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    assert all(got[i] <= n for i, n in enumerate(want))
+    assert sum(got.values()) >= 0.95 * want.sum() > 0
+
+
+def test_vectors_of_every_length_are_linked(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(40)]
+    rows += [(100, [1.0, 2.0]), (101, [1.0, 2.1]), (102, [1.0, 2.0, 0.0]), (103, [1.0]), (104, [3.0]), (105, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.near_vectors(df).collect()}
+    assert [got[i] for i in range(100, 106)] == [(1, 100), (1, 100), (0, 102), (1, 103), (1, 103), (0, 105)]
+
+
 PATTERNS = {
     "assign": (r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
@@ -342,10 +375,14 @@ def test_shards(docs, rows, empty):
     assert sharding.shard(empty, shards=4).count() == 0
 
 
-def test_hot_group_is_split(spark):
+def test_a_group_larger_than_a_shard_stays_whole(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 1500, "same " * 20).otherwise(F.col("id").cast("string")).alias("text"))
-    bytes_of = [r[1] for r in sharding.shard(df, shards=10).groupBy("shard").agg(F.sum("size")).collect()]
-    assert len(bytes_of) == 10 and max(bytes_of) - min(bytes_of) < 0.05 * max(bytes_of)
+    placed = sharding.shard(df, shards=10).cache()
+    assert placed.where("doc_id < 1500").select("shard").distinct().count() == 1
+    bytes_of = sorted(r[1] for r in placed.groupBy("shard").agg(F.sum("size")).collect())
+    assert len(bytes_of) == 10 and bytes_of[-2] - bytes_of[0] < 0.05 * bytes_of[0] and bytes_of[-1] == 1500 * 116
+    slots = placed.groupBy("shard").agg(F.count("*"), F.count_distinct("slot"), F.min("slot"), F.max("slot")).collect()
+    assert all(n == d == last + 1 and first == 0 for _, n, d, first, last in slots)
 
 
 def test_best_fit_takes_the_tightest_bin():
@@ -362,3 +399,27 @@ def test_best_fit_takes_the_tightest_bin():
         room[i] -= s
         want.append(i)
     assert list(sharding.best_fit(sizes, 100)) == want
+
+
+def test_texts_full_of_secrets(spark):
+    """Many matches in one text: time near-linear, all places right."""
+    import time
+
+    rng = random.Random(9)
+    parts = []
+    for i in range(40_000):
+        parts.append(f"{rng.getrandbits(128):032x}" if i % 2 else "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGH0123", k=20)))
+    text = " ".join(parts) + " password = AAAAbbbbCCCCddddEEEEffff"
+    df = spark.createDataFrame([(1, text), (2, "token: " + "a" * 24)], "doc_id long, text string")
+    begin = time.perf_counter()
+    got = {r["doc_id"]: r for r in secret_scan.scan(df).collect()}
+    assert time.perf_counter() - begin < 30
+    want = [(m.start(), m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    assert [(s["start"], s["end"]) for s in got[1]["hex"]] == want and len(want) >= 20_000
+    base = [(s["start"], s["end"]) for k in ("assign", "access", "hex") for s in got[1][k]]
+    covered = np.zeros(len(text) + 1, bool)
+    for a, b in base:
+        covered[a:b] = True
+    free = [m.span() for m in re.finditer(secret_scan.CANDIDATE, text) if not covered[m.start() : m.end()].any()]
+    assert [(s["start"], s["end"]) for s in got[1]["candidates"]] == free and len(free) > 15_000
+    assert got[2]["candidates"] == []

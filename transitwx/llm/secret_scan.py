@@ -33,29 +33,86 @@ MARGIN = 10.0
 SPAN = "array<struct<start:int,end:int,token:string>>"
 
 
+#: Entries of a list that are added up one by one; lists of more are cut in blocks.
+BLOCK = 256
+
+
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def before_each(values: Column, zero: int, step) -> Column:
+    """For every entry of an integer array what ``step`` makes of those before it.
+    (A growing list is copied at every entry, so long ones are done in blocks.)"""
+    none = F.array().cast("array<int>")
+
+    def run(part: Column, start: Column) -> Column:
+        first = F.struct(start.alias("at"), none.alias("list"))
+        return F.aggregate(
+            part,
+            first,
+            lambda s, x: F.struct(step(s["at"], x).alias("at"), F.concat(s["list"], F.array(s["at"])).alias("list")),
+            lambda s: s["list"],
+        )
+
+    def blocks(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(v) / BLOCK).cast("int"), F.lit(1)) - 1)
+        part = lambda i: F.slice(v, i * BLOCK + 1, BLOCK)
+        totals = F.transform(numbers, lambda i: F.aggregate(part(i), F.lit(zero), step))
+        starts = run(totals, F.lit(zero))
+        return bound(starts, lambda s: F.flatten(F.transform(numbers, lambda i: run(part(i), F.element_at(s, i + 1)))))
+
+    return bound(values, blocks)
+
+
 def spans(text: Column, pattern: str, group: int = 0) -> Column:
     """All leftmost non-overlapping matches as ``(start, end, token)``, in code
     points; ``token`` is the group. The pieces between the matches give the places."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     tokens = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    lengths = F.transform(found, F.length)
-    # ends of the gaps: a running sum of gap and match lengths
-    run = F.aggregate(
-        F.arrays_zip(gaps.alias("g"), lengths.alias("m")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda s, x: F.struct(
-            (s["at"] + x["g"] + F.coalesce(x["m"], F.lit(0))).alias("at"),
-            F.concat(s["starts"], F.array(s["at"] + x["g"])).alias("starts"),
-        ),
-        lambda s: s["starts"],
-    )
-    joined = F.transform(
-        F.arrays_zip(F.slice(run, 1, F.size(found)).alias("s"), lengths.alias("m"), tokens.alias("t")),
-        lambda x: F.struct(x["s"].alias("start"), (x["s"] + x["m"]).alias("end"), x["t"].alias("token")),
-    )
-    none = F.array().cast(SPAN)
-    return F.when(text.rlike(pattern), joined).otherwise(none)
+    parts = F.arrays_zip(gaps.alias("g"), F.transform(found, F.length).alias("m"), tokens.alias("t"))
+
+    def placed(parts: Column) -> Column:
+        # (the last gap has no match after it)
+        lengths = F.transform(parts, lambda x: x["g"] + F.coalesce(x["m"], F.lit(0)))
+        starts = before_each(lengths, 0, lambda a, b: a + b)
+        rows = F.arrays_zip(starts.alias("s"), parts.alias("p"))
+        joined = F.transform(
+            F.filter(rows, lambda x: x["p"]["m"].isNotNull()),
+            lambda x: F.struct(
+                (x["s"] + x["p"]["g"]).alias("start"),
+                (x["s"] + x["p"]["g"] + x["p"]["m"]).alias("end"),
+                x["p"]["t"].alias("token"),
+            ),
+        )
+        return joined
+
+    return F.when(text.rlike(pattern), bound(parts, placed)).otherwise(F.array().cast(SPAN))
+
+
+def outside(candidates: Column, base: Column) -> Column:
+    """The candidates that no base span overlaps. Both are sorted together; the
+    largest end of base spans before a candidate and the smallest start of those
+    after it decide."""
+    far = 1 << 30
+
+    def event(kind: int):
+        return lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"), s["token"].alias("token"))
+
+    def judged(events: Column) -> Column:
+        ends = F.transform(events, lambda e: F.when(e["kind"] == 0, e["end"]).otherwise(0))
+        starts = F.reverse(F.transform(events, lambda e: F.when(e["kind"] == 0, e["start"]).otherwise(far)))
+        left = before_each(ends, 0, lambda a, b: F.greatest(a, b))
+        right = F.reverse(before_each(starts, far, lambda a, b: F.least(a, b)))
+        rows = F.arrays_zip(events.alias("e"), left.alias("l"), right.alias("r"))
+        clear = lambda x: (x["e"]["kind"] == 1) & (x["l"] <= x["e"]["start"]) & (x["r"] >= x["e"]["end"])
+        return F.transform(F.filter(rows, clear), lambda x: F.struct(x["e"]["start"].alias("start"), x["e"]["end"].alias("end"), x["e"]["token"].alias("token")))
+
+    events = F.array_sort(F.concat(F.transform(base, event(0)), F.transform(candidates, event(1))))
+    both = (F.size(candidates) > 0) & (F.size(base) > 0)
+    return F.when(both, bound(events, judged)).otherwise(candidates)
 
 
 def long_enough(found: Column, least: int) -> Column:
@@ -68,10 +125,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     base = [long_enough(spans(text, pattern, group), least).alias(kind) for kind, pattern, group, least in BASE]
     wide = docs.select(F.col(id_col).alias("doc_id"), *base, spans(text, CANDIDATE).alias("candidates"))
     all_base = F.concat(*(F.col(kind) for kind, *_ in BASE))
-    outside = F.filter(
-        "candidates", lambda c: ~F.exists(all_base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    )
-    return wide.withColumn("candidates", outside)
+    return wide.withColumn("candidates", outside(F.col("candidates"), all_base))
 
 
 def labelled(scanned: DataFrame) -> DataFrame:

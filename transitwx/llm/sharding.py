@@ -123,9 +123,9 @@ def shard(
     ``size`` is the UTF-8 bytes of the text (null: none) plus 16. With ``shards``
     the capacity is their even share, so that sizes come out near equal; with
     ``capacity`` as few shards as best fit decreasing finds are opened. Equal
-    texts stay in one shard unless together they exceed a shard; only then the
-    group is split by id into pieces of at most 1/64 of a shard, or single rows. ``slot``
-    numbers the rows of a shard from 0 without gaps.
+    texts stay in one shard: a group larger than a shard has one of its own, which
+    exceeds the others by what the group has too much, and the others share the
+    rest evenly. ``slot`` numbers the rows of a shard from 0 without gaps.
 
     Null texts are a group of their own with checksum 0. Repeated rows are rows
     of their own. An empty table gives an empty result.
@@ -149,11 +149,7 @@ def shard(
     small = max(1, capacity // blocks)
     count = F.count("*").alias("rows")
     groups = stage(rows.groupBy("text_key").agg(F.sum("size").alias("bytes"), count), "groups")
-    # a group above capacity is dealt into pieces by id; there are fewer than `bins` such groups
-    large = groups.where(F.col("bytes") > small).withColumn(
-        "pieces", F.when(F.col("bytes") > capacity, F.least(F.ceil(F.col("bytes") * 64 / capacity), F.col("rows"))).otherwise(1)
-    )
-    large = large.select("text_key", "pieces", F.col("rows").alias("rows_of"))
+    large = groups.where(F.col("bytes") > small).select("text_key", F.col("rows").alias("rows_of"))
     # groups of over 1/blocks of a shard: at most bins * blocks of them
     keyed = rows.join(F.broadcast(large) if bins * blocks <= ITEMS else large, "text_key", "left")
     keyed = keyed.select(
@@ -161,12 +157,12 @@ def shard(
         "size",
         "text_crc32",
         F.when(
-            F.col("pieces").isNull(),
+            F.col("rows_of").isNull(),
             F.format_string("block-%d", F.pmod(F.xxhash64("text_key"), F.lit(max(1, bins) * blocks))),
         )
-        .otherwise(F.format_string("%s-%d", F.col("text_key"), F.pmod(F.xxhash64("doc_id"), F.col("pieces"))))
+        .otherwise(F.col("text_key"))
         .alias("item"),
-        F.when(F.col("pieces").isNull(), 0)
+        F.when(F.col("rows_of").isNull(), 0)
         .otherwise(F.pmod(F.xxhash64("doc_id", F.lit("unit")), F.ceil(F.col("rows_of") / UNIT_ROWS)))
         .alias("unit"),
     )
