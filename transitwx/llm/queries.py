@@ -52,7 +52,9 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
-    return plan.orderBy("position", "doc_id").select("doc_id", "size", "source_size", "target", "taken")
+    # more digits than this differ between math libraries
+    place = F.round("position", 9).alias("position")
+    return plan.orderBy("position", "doc_id").select("doc_id", "size", "source_size", "target", "taken", place)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +215,74 @@ WITH sized AS (
       ((goal // source_size) * size + greatest(least(goal % source_size - start, size), 0))::BIGINT ELSE 0 END AS taken
   FROM placed
 )
-SELECT doc_id, size, source_size, target, taken FROM taken
+-- integrals of the schedules 1/2 + t, 1 and 3/2 - t, solved for t
+SELECT doc_id, size, source_size, target, taken,
+       CASE WHEN taken > 0 THEN round(CASE kind WHEN 0 THEN sqrt(0.25 + 2 * (start / target)) - 0.5
+                                                WHEN 1 THEN start / target
+                                                ELSE 1.5 - sqrt(2.25 - 2 * (start / target)) END, 9) END AS position
+FROM taken
+""",
+    "op3_substring_dedup": r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT r, doc_id, i, words[i:i + 12] AS w
+  FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM texts)
+), later AS (
+  SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY w) AS first FROM windows
+), removed AS (
+  SELECT DISTINCT r, i + d AS i FROM later, (SELECT unnest(range(0, 13)) AS d) WHERE first < doc_id
+), lists AS (
+  SELECT r, list(i) AS gone FROM removed GROUP BY r
+), judged AS (
+  SELECT doc_id, words, coalesce(gone, []) AS gone FROM texts LEFT JOIN lists USING (r)
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string([words[i] for i in range(1, len(words) + 1) if NOT list_contains(gone, i)], ' '), ''))
+         AS kept_sha256
+FROM judged
+""",
+    "op5_minhash_dedup": r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+  FROM documents
+), elements AS (
+  SELECT DISTINCT doc_id, words[i:i + 4] AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM texts WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM elements GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM elements a JOIN elements b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE c.n >= 0.8 * (x.n + y.n - c.n)
+), steps AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, s.b FROM reach r JOIN steps s ON r.other = s.a
+)
+SELECT doc_id, min(other) AS component_id, min(other) = doc_id AS kept FROM reach GROUP BY doc_id
+""",
+    "op7_vector_dedup": r"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 AND len([x for x in embedding if x <> 0]) > 0
+), steps AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.vec_id, s.b FROM reach r JOIN steps s ON r.other = s.a
+), counted AS (
+  SELECT a, count(*) AS n FROM steps GROUP BY a
+), lowest AS (
+  SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, component_id = vec_id AS kept
+FROM lowest LEFT JOIN counted ON a = vec_id
 """,
     "op12_quality_rules": r"""
 WITH parts AS (
