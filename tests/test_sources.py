@@ -1,10 +1,13 @@
+import glob
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
+from transitwx.functions.curve import interleave, slice_of
 from transitwx.operators.weather import flatten_documents
 from transitwx.schemas import _struct
 from transitwx.session import scratch_path, scratch_root, stage
@@ -106,3 +109,62 @@ def test_stage_uses_the_named_folder(spark):
     staged = stage(df, "odd-names")
     assert staged.columns == df.columns and staged.collect() == df.collect()
     assert root in staged.inputFiles()[0]
+
+
+def files_that_may_hold(path, box):
+    """Files whose statistics meet the box, and all files."""
+    found = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path}/*.parquet")]
+    hit = 0
+    for meta in found:
+        at = {meta.schema.column(i).name: i for i in range(meta.num_columns)}
+        groups = [meta.row_group(g) for g in range(meta.num_row_groups)]
+        hit += any(
+            all(
+                g.column(at[c]).statistics.min <= high and g.column(at[c]).statistics.max >= low
+                for c, (low, high) in box.items()
+            )
+            for g in groups
+        )
+    return hit, len(found)
+
+
+def test_clustered_files_hold_small_boxes(spark, tmp_path):
+    rows = spark.range(60000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(10000)) / 100).alias("a"),
+        # crowded at one end
+        F.pow(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 1000, 4).alias("b"),
+        F.timestamp_micros(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(10**12))).cast("timestamp_ntz").alias("t"),
+        F.col("id").alias("__curve0"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        tables.write_clustered(rows, f"{tmp_path}/t", ["a", "b", "t"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.parquet(f"{tmp_path}/t")
+    assert back.columns == rows.columns
+    assert back.exceptAll(rows).isEmpty() and back.count() == 60000
+    hit, of = files_that_may_hold(f"{tmp_path}/t", {"a": (10.0, 15.0), "b": (0.0, 0.001)})
+    assert of > 40 and hit <= of / 4
+    plan = plan_of(back.where("a between 10 and 15 and b < 0.001"))
+    assert "GreaterThanOrEqual(a,10.0)" in plan and "LessThan(b,0.001)" in plan
+
+
+def test_clustered_write_of_nulls_one_value_and_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([(None, 1.0), (2, None), (None, None), (2, 1.0), (2, 1.0)], "a int, b double")
+    for n, part in enumerate((rows, rows.where("a = 2 and b = 1"), rows.where("false"))):
+        tables.write_clustered(part, f"{tmp_path}/{n}", ["a", "b"])
+        back = spark.read.parquet(f"{tmp_path}/{n}")
+        assert sorted(back.collect(), key=str) == sorted(part.collect(), key=str)
+
+
+def test_interleaved_bits(spark):
+    rows = spark.createDataFrame([(a, b) for a in range(4) for b in range(4)], "a int, b int")
+    key = interleave([F.col("a"), F.col("b")], 2)
+    for r in rows.select("a", "b", key.alias("k")).collect():
+        assert r["k"] == int("".join(f"{r['a']:02b}"[i] + f"{r['b']:02b}"[i] for i in range(2)), 2)
+    cuts = [1.0, 2.5, 2.75, 9.0, 9.5]
+    values = spark.createDataFrame([(x,) for x in (None, -1.0, 1.0, 2.6, 9.2, 99.0)], "x double")
+    assert [r[0] for r in values.select(slice_of(F.col("x"), cuts)).collect()] == [0, 0, 1, 2, 4, 5]

@@ -636,6 +636,24 @@ def bbox_time_filter(spark, d):
     return kept.select("event_id", "station", "us", "lat", "lon")
 
 
+@query(
+    "bbox_clustered_read",
+    """SELECT event_id, station, us, lat, lon FROM v_obs JOIN v_geo USING (station)
+       WHERE lat BETWEEN 61 AND 62 AND lon BETWEEN 22 AND 24
+         AND ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-24 23:59:59'""",
+)
+def bbox_clustered_read(spark, d):
+    """The table is written along a space-filling order; the filter reads its own boxes of it."""
+    lat, lon = dt.place(F.col("station"), 37, 91)
+    path = scratch_path(spark, "observations-clustered")
+    tables.write_clustered(dt.v_obs(spark, d).select("*", lat.alias("lat"), lon.alias("lon")), path, ["ts", "lat", "lon"])
+    ntz = lambda text: F.to_timestamp_ntz(F.lit(text))
+    kept = weather.in_box_and_time(
+        spark.read.parquet(path), (22, 61, 24, 62), ntz("2024-01-05 00:00:00"), ntz("2024-01-24 23:59:59"), "ts", "lat", "lon"
+    )
+    return kept.select("event_id", "station", "us", "lat", "lon")
+
+
 # --- stations ---------------------------------------------------------------------
 
 
