@@ -27,10 +27,18 @@ from transitwx.operators.rolling import rolling_features, rolling_for_month, tra
 from transitwx.plans import driver_tables as dt
 from transitwx.plans.driver_tables import EVENT_TYPES, PARAMETERS, VIEWS, table
 from transitwx.plans.job import load_summary, run_month, save_summary
-from transitwx.plans.weather_merge import merge_tables, nest_merged
+from transitwx.plans.weather_merge import (
+    merge_stops,
+    merge_tables,
+    nest_merged,
+    station_candidates,
+    weather_blocks,
+    weather_features,
+)
 from transitwx.schemas import STOP, TRAIN
 from transitwx.session import prepare, scratch_path, stage
 from transitwx.sources import landing, tables
+from transitwx.sources.blocks import read_blocks, write_blocks
 from transitwx.sources.releases import read_release
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -795,6 +803,26 @@ def asof(spark, d):
     return asof_nearest(errors, clicks, ["station"], "us", take=["click_id"])
 
 
+@query(
+    "asof_blocks",
+    """WITH clicks AS (SELECT user_id, ts, max(event_id) AS click_id FROM events
+                       WHERE event_type = 'click' GROUP BY user_id, ts)
+       SELECT event_id, station, us, matched_us, click_id FROM (
+         SELECT l.event_id, l.user_id AS station, epoch_us(l.ts) AS us, epoch_us(r.ts) AS matched_us, r.click_id,
+                row_number() OVER (PARTITION BY l.event_id
+                    ORDER BY abs(epoch_us(r.ts) - epoch_us(l.ts)), r.ts) rn
+         FROM events l LEFT JOIN clicks r ON r.user_id = l.user_id
+         WHERE l.event_type = 'error') WHERE rn = 1""",
+)
+def asof_blocks(spark, d):
+    """Clicks stored by station and day, met where they lie."""
+    obs = dt.v_obs(spark, d)
+    errors = obs.where("param = 'error'").select("event_id", "station", "us")
+    clicks = obs.where("param = 'click'").groupBy("station", "us").agg(F.max("event_id").alias("click_id"))
+    stored = write_blocks(stage(clicks, "clicks"), scratch_path(spark, "click-blocks"), ["station"], "us")
+    return asof_nearest(errors, stored, ["station"], "us", take=["click_id"])
+
+
 FALLBACK = ("p_view", "p_click")
 
 
@@ -936,6 +964,23 @@ def stop_weather(spark, d):
     return _stop_columns(merged(spark, d))
 
 
+@query("stop_weather_blocks", _MERGE_SQL)
+def stop_weather_blocks(spark, d):
+    """The same with the weather stored by station and day and read back by its path."""
+    path = scratch_path(prepare(spark), "weather-blocks")
+    weather_blocks(stage(weather_features(dt.weather(spark, d), MERGE), "weather-features"), path, MERGE)
+    candidates = station_candidates(dt.train_stations(spark, d), dt.places(spark, d), MERGE)
+    return _stop_columns(
+        merge_stops(
+            stage(dt.trains(spark, d, shift_to_2024=True), "trains"),
+            read_blocks(spark, path),
+            stage(candidates, "station-candidates"),
+            MERGE,
+            train_columns=("trainNumber", "departureDate", "version"),
+        )
+    )
+
+
 @query("job_stops", _MERGE_SQL)
 def job_stops(spark, d):
     """The stops that the writing job publishes for a month."""
