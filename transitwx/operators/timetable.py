@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitwx.config import DELAY, DELAY_FROM_ORIGIN, DELAY_FROM_PREVIOUS
+from transitwx.functions.naming import quoted
 from transitwx.functions.text import decode_records
 from transitwx.operators.stations import lookup
 
@@ -17,12 +18,17 @@ ROWS = "timeTableRows"
 STOPS_PER_BLOCK = 256
 
 
+def _once(costly: Column) -> Column:
+    """The value, worked out once a row: Spark copies an expression into the filters
+    on it, which later steps may bring, but not a generator."""
+    return F.explode(F.array(costly))
+
+
 def decode_timetable(trains: DataFrame, record: T.StructType, rows: str = ROWS) -> DataFrame:
     """Turn list text into records.
 
     Text that cannot be read gives an empty list and ``decode_error = true``;
-    NULL text counts as unreadable too.
-    """
+    NULL text counts as unreadable too.     """
     decoded = decode_records(F.col(rows), record)
     out = trains.withColumn("__decoded", decoded)
     empty = F.from_json(F.lit("[]"), T.ArrayType(record))
@@ -87,9 +93,10 @@ def renest_stops(
 ) -> DataFrame:
     """One row per train with its stops as an ordered list."""
     entry = F.struct(F.col(idx).alias("__idx"), F.struct(*fields).alias("__stop"))
-    ordered = F.array_sort(F.collect_list(F.when(F.col(idx).isNotNull(), entry)))
+    # compiled, as array_sort and a transform are not
+    ordered = F.sort_array(F.collect_list(F.when(F.col(idx).isNotNull(), entry)))
     nested = stops.groupBy(*keys).agg(ordered.alias(rows))
-    return nested.withColumn(rows, F.transform(rows, lambda e: e["__stop"]))
+    return nested.withColumn(rows, F.col(quoted(rows))["__stop"])
 
 
 def add_station_names(
@@ -104,16 +111,17 @@ def add_station_names(
     Names depend only on the set of stations a train calls at. They are looked up
     once per set, and each train meets the names of its own set; trains are
     neither told apart by keys nor taken to pieces, so equal rows and rows with
-    NULL keys keep their stops.
+    NULL keys keep their stops. Sets go by a hash, so that the lists are neither
+    copied per station nor sorted; sets with equal hashes share their names.
     """
     fields = [f for f in trains.schema[rows].dataType.elementType.fieldNames() if f != "stationName"]
-    calls = F.array_sort(F.array_distinct(F.array_compact(F.transform(rows, lambda s: s[code]))))
-    keyed = trains.withColumn("__calls", calls)
-    sets = keyed.select("__calls").where(F.size("__calls") > 0).distinct()
-    each = sets.select("__calls", F.explode("__calls").alias("__code"))
+    calls = F.sort_array(F.array_distinct(F.array_compact(F.col(quoted(rows))[code])))
+    keyed = trains.withColumn("__set", F.xxhash64(calls))
+    sets = trains.select(_once(calls).alias("__calls")).distinct()
+    each = sets.select(F.xxhash64("__calls").alias("__set"), F.explode("__calls").alias("__code"))
     named = lookup(each, stations, "__code", code, {"stationName": "__name"}, order)
-    names = named.groupBy("__calls").agg(
-        F.map_from_entries(F.collect_list(F.struct("__code", "__name"))).alias("__names")
+    names = named.groupBy("__set").agg(
+        F.map_from_entries(F.collect_set(F.struct("__code", "__name"))).alias("__names")
     )
     stops = F.transform(
         rows,
@@ -122,8 +130,8 @@ def add_station_names(
             *[s[f].alias(f) for f in fields],
         ),
     )
-    joined = keyed.join(names, "__calls", "left")
-    return joined.select(*[stops.alias(rows) if c == rows else F.col(c) for c in trains.columns])
+    joined = keyed.join(names, "__set", "left")
+    return joined.select(*[_once(stops).alias(rows) if c == rows else F.col(c) for c in trains.columns])
 
 
 def add_nested_offsets(trains: DataFrame, rows: str = ROWS) -> DataFrame:

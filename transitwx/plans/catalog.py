@@ -306,7 +306,7 @@ def station_name_join(spark, d):
         F.col("name").alias("stationName"),
         F.col("ems").alias("ord"),
     )
-    trains = timetable.add_station_names(dt.trains(spark, d), named)
+    trains = timetable.add_station_names(stage(dt.trains(spark, d), "trains"), named)
     return timetable.explode_stops(trains.select("version", timetable.ROWS)).select(
         F.col("version").alias("train_id"),
         "idx",

@@ -7,6 +7,7 @@ Each view exists twice with the same meaning: a DataFrame here and SQL text in
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from transitwx.functions.times import micros
@@ -77,13 +78,16 @@ def place(key: Column, a: int, b: int) -> tuple[Column, Column]:
     return F.lit(60) + (key * a % 1009) / F.lit(1e2), F.lit(20) + (key * b % 1013) / F.lit(1e2)
 
 
-def v_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = ordinal(
-        table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER, "l_returnflag"),
-        ["l_orderkey"],
-        LINE_ORDER,
-        split=F.trunc("l_shipdate", "month"),
-    )
+def v_stop(spark: SparkSession, sf_dir: str, together: bool = False) -> DataFrame:
+    """``together`` leaves all stops of a train in one task, for those who make them
+    one list next: they are numbered, meet their order and are nested in one shuffle."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER, "l_returnflag")
+    if together:
+        within = F.row_number().over(W.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
+        # as with ``ordinal``, lines without a date are counted and then left out
+        lines = lines.withColumn("idx", within - 1).where(F.col("l_shipdate").isNotNull())
+    else:
+        lines = ordinal(lines, ["l_orderkey"], LINE_ORDER, split=F.trunc("l_shipdate", "month"))
     orders = table(spark, sf_dir, "orders")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_orderkey").alias("train_id"),
@@ -183,7 +187,7 @@ def trains(spark: SparkSession, sf_dir: str, shift_to_2024: bool = False) -> Dat
     Shifted trains run in January 2024 and stop at places named by part key, a
     quarter of which no station table knows. Some times lack their fraction.
     """
-    stops = v_stop(spark, sf_dir)
+    stops = v_stop(spark, sf_dir, together=True)
     if shift_to_2024:
         offset = F.datediff("departure_date", F.lit("1995-01-01").cast("date")) % 30
         day = F.date_add(F.lit("2024-01-01").cast("date"), offset)
