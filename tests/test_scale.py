@@ -4,10 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
+from transitwx.config import HOUR_US, Settings
 from transitwx.operators.asof import asof_with_fallback
 from transitwx.operators.nearest import k_nearest
-from transitwx.operators.timetable import add_station_names, decode_timetable, explode_stops
+from transitwx.operators.rolling import rolling_features
+from transitwx.operators.timetable import add_nested_offsets, add_station_names, decode_timetable, explode_stops
 from transitwx.plans import driver_tables as dt
+from transitwx.plans.weather_merge import merge_stops
 from transitwx.schemas import STOP
 from transitwx.session import CLEANUP, stage, tidy_shuffles
 
@@ -91,3 +94,44 @@ def test_names_of_sets_go_by_a_number(spark, no_broadcasts):
     assert "hashpartitioning(__set" in plan and "Join [__calls" not in plan
     got = {r["n"]: r["timeTableRows"] and [s["stationName"] for s in r["timeTableRows"]] for r in named.collect()}
     assert got == {1: ["Aa", "Bb", "Aa", None], 2: ["Bb", "Aa"], 3: [], 4: None, 5: [None]}
+
+
+def test_a_stop_is_shuffled_once_and_meets_packed_answers(spark, no_broadcasts):
+    record = "array<struct<stationShortCode:string,type:string,scheduledTime:string,differenceInMinutes:int>>"
+    rows = [("A", "D", "2024-01-01T00:10:00.000Z", 1), ("A", "D", "2024-01-01T00:10:00Z", None), ("?", "D", "2024-01-01T00:10:00Z", 4),
+            ("B", "D", "2024-01-01T00:10:00.000Z", 5), ("", "D", None, 6), ("C", "D", "2024-01-01T00:10:00.000Z", 7), ("A", "D", "", 8)]
+    trains = spark.createDataFrame([(1, "2024-01-01", "x", rows)], f"trainNumber long, departureDate string, trainCategory string, timeTableRows {record}")
+    ranked = [("A", "s", [(1, "s", True), (2, "t", False)]), ("B", "u", [(1, "u", True)]), ("C", None, None)]
+    lists = "stationShortCode string, closest_ems_station string, ranked array<struct<rank:int,station:string,is_primary:boolean>>"
+    seen = [("s", 9, None, 1.0, 3.0), ("t", 12, 5.0, 2.0, 4.0)]
+    weather = spark.createDataFrame(seen, "station_name string, us long, `Snow depth` double, `Wind speed` double, `Air temperature` double")
+    weather = weather.withColumn("timestamp", F.lit("2024-01-01").cast("timestamp")).withColumn("us", F.col("us") + 1_704_067_200_000_000)
+    merged = merge_stops(trains, weather, spark.createDataFrame(ranked, lists), Settings(filter_by_category=False))
+    plan = plan_of(merged)
+    assert plan.count("SortMergeJoin [stationShortCode") == 1 and "Exchange hashpartitioning(stationShortCode#" in plan
+    # between the window that puts answers together and the join they are neither shuffled nor sorted
+    above = plan[: plan.index("Window [first(__f0")].splitlines()[-4:]
+    assert not any("Exchange" in line or "Sort " in line for line in above), above
+    got = {r["idx"]: (r["weather_status"], r["closest_ems"], r["Snow depth"], r["Wind speed"], r["Air temperature"]) for r in merged.collect()}
+    assert got == {0: ("ok", "s", 5.0, 1.0, 3.0), 1: ("bad_time", None, None, None, None), 2: ("no_station", None, None, None, None),
+                   3: ("no_data", None, None, None, None), 4: (None,) * 5, 5: ("no_data", None, None, None, None), 6: (None,) * 5}
+
+
+def test_finished_windows_travel_as_one_column(spark):
+    obs = spark.createDataFrame([("s", 10 * HOUR_US, 1.5, "x"), ("s", 15 * HOUR_US, None, "y"), ("s", 40 * HOUR_US, 4.0, None)], "station_name string, us long, p double, note string")
+    rolled = rolling_features(obs, ["p"], (12, 24))
+    plan = plan_of(rolled)
+    assert "__t_24#" in plan and "__others#" in plan and "__t_max_0_24" not in plan
+    got = sorted((r["us"] // HOUR_US, r["note"], r["p"], r["p (12h max)"], r["p (24h cumulative)"]) for r in rolled.collect())
+    assert got == [(10, "x", 1.5, 1.5, 1.5), (15, "y", None, 1.5, 1.5), (40, None, 4.0, 4.0, 4.0)]
+
+
+def test_offsets_search_a_list_once_and_only_at_a_gap(spark):
+    delays = [None, None, 3, None, None, 7, 6]
+    trains = spark.createDataFrame([(1, [(d,) for d in delays]), (2, [(2,), None, (5,)]), (3, []), (4, None)], "n int, timeTableRows array<struct<differenceInMinutes:int>>")
+    out = add_nested_offsets(trains)
+    assert plan_of(out).count("filter(") == 1
+    got = {r["n"]: r["timeTableRows"] and [tuple(s) for s in r["timeTableRows"]] for r in out.collect()}
+    assert got[1] == [(None, None, None), (None, None, None), (3, 3, 3), (None, None, None), (None, None, None), (7, 7, 4), (6, 6, -1)]
+    assert got[2] == [(2, 2, 2), (None, None, None), (5, 3, 3)]
+    assert got[3] == [] and got[4] is None
