@@ -9,6 +9,7 @@ from transitwx.operators.asof import asof_with_fallback
 from transitwx.operators.nearest import k_nearest
 from transitwx.operators.rolling import rolling_features
 from transitwx.operators.timetable import add_nested_offsets, add_station_names, decode_timetable, explode_stops
+from transitwx.plans import catalog
 from transitwx.plans import driver_tables as dt
 from transitwx.plans.weather_merge import merge_stops
 from transitwx.schemas import STOP
@@ -135,3 +136,17 @@ def test_offsets_search_a_list_once_and_only_at_a_gap(spark):
     assert got[1] == [(None, None, None), (None, None, None), (3, 3, 3), (None, None, None), (None, None, None), (7, 7, 4), (6, 6, -1)]
     assert got[2] == [(2, 2, 2), (None, None, None), (5, 3, 3)]
     assert got[3] == [] and got[4] is None
+
+
+def test_nested_stops_leave_the_shuffles_of_the_merge_behind(spark, orders, no_broadcasts):
+    seen = [(1, "2024-01-03 01:00:00", 4, "view", 2.0), (2, "2024-01-09 01:00:00", 5, "error", 3.0)]
+    events = spark.createDataFrame(seen, "event_id long, t string, user_id long, event_type string, value double")
+    events.withColumn("ts", F.to_timestamp("t")).write.parquet(f"{orders}/events.parquet")
+    for name, key in (("customer", "c"), ("supplier", "s")):
+        keys = spark.createDataFrame([(k, str(k)) for k in (4, 5)], f"{key}_{'cust' if key == 'c' else 'supp'}key long, {key}_name string")
+        keys.write.parquet(f"{orders}/{name}.parquet")
+    nested = catalog.QUERIES["stop_weather_nested"](spark, orders)
+    # by train alone: what merged the stops is no part of the query that nests them
+    assert plan_of(nested).count("Exchange hashpartitioning") == 1
+    got = {r["train_id"]: (r["stops"], r["observed"], r["places"]) for r in nested.collect()}
+    assert got == {1: (3, 2, "S4 - S5"), 2: (3, 2, "S4 - S5"), 3: (4, 2, "- - S5 S5")}, got
